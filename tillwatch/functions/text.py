@@ -21,24 +21,28 @@ _NAN = "(?i)^[+-]?nan$"
 def words(message: Column) -> Column:
     """Words between runs of whitespace, without empty ones at the ends.
 
-    Almost every message is printable ASCII, where splitting at plain spaces is
-    exact and far cheaper than matching the whole whitespace class.
+    Almost every message is printable ASCII with single blanks. There a split
+    at the literal blank is exact, at a small part of the cost of matching the
+    whole whitespace class.
     """
-    plain = F.split(F.trim(message), " +")
+    tidy = message.rlike(r"^[ -~]*\z") & ~F.contains(message, F.lit("  "))
     wide = F.split(F.btrim(message, F.lit(WHITESPACE)), f"[{WHITESPACE}]+")
-    return F.when(message.rlike("[^ -~]"), wide).otherwise(plain)
+    return F.when(tidy, F.split(F.trim(message), " ")).otherwise(wide)
 
 
 def strip_dots(text: Column) -> Column:
     return F.rtrim(text, F.lit("."))
 
 
-def amount_value(word: Column) -> Column:
-    """Amount of a word such as ``$824.23.``; NULL where it is no number.
+def amount_text(word: Column) -> Column:
+    return strip_dots(F.ltrim(word, F.lit("$")))
+
+
+def amount_value(text: Column) -> Column:
+    """Number of an amount text such as ``824.23``; NULL where it is none.
 
     The pattern keeps out what a cast alone would accept, such as ``1.0d``.
     """
-    text = strip_dots(F.ltrim(word, F.lit("$")))
     return (
         F.when(text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
         .when(text.rlike(_INFINITE), text.try_cast("double"))

@@ -18,7 +18,7 @@ def frame(json_text: Column, schema_id: int) -> Column:
 
 
 def is_framed(value: Column) -> Column:
-    return (F.octet_length(value) > FRAME_BYTES) & (F.hex(F.substring(value, 1, 1)) == "00")
+    return (F.octet_length(value) > FRAME_BYTES) & (F.substring(value, 1, 1) == F.lit(b"\x00"))
 
 
 def frame_schema_id(value: Column) -> Column:
@@ -62,4 +62,5 @@ def is_json_string(variant: Column) -> Column:
 
 
 def json_string(variant: Column) -> Column:
-    return F.variant_get(variant, "$", "string")
+    """Content of a JSON string (a cast; ``variant_get`` costs several times as much)."""
+    return variant.cast("string")

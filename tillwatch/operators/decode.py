@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.contract import EVENT_FIELDS
@@ -20,38 +20,36 @@ def decode_records(records: DataFrame, known_schema_ids: Sequence[int] | None =
     ``known_schema_ids`` every schema id is taken. No row is dropped, and no
     row makes the query fail.
     """
-    value = F.col("value")
+    value, text = F.col("value"), F.col("_text")
+    items, item = F.col("_items"), F.get(F.col("_items"), F.lit(0))
     fields = wire.variant_fields(EVENT_FIELDS)
-    text, items, item = F.col("_text"), F.col("_items"), F.col("_item")
+    framed = wire.is_framed(value)
 
-    # One step per projection: each uses the one before it several times, so
-    # the optimizer keeps them apart and the JSON is parsed once.
-    framed = records.withColumns(
-        {
-            "schema_id": F.when(wire.is_framed(value), wire.frame_schema_id(value)),
-            "_text": F.when(wire.is_framed(value), wire.frame_text(value)),
-        }
-    )
-    listed = framed.withColumn("_items", wire.json_items(text, fields))
-    parsed = listed.withColumn(
-        "_item", F.when((F.size(items) == 1) & ~wire.closes_early(text, fields), F.get(items, F.lit(0)))
-    )
-
-    def defect(stage: str, error: str):
+    def defect(stage: str, error: str) -> Column:
         return F.struct(F.lit(stage).alias("stage"), F.lit(error).alias("error"))
 
-    found = F.when(value.isNull(), defect("frame", "value is null"))
-    found = found.when(F.col("schema_id").isNull(), defect("frame", "no frame header"))
+    not_json = defect("json", "payload is not one JSON object")
+    outer = F.when(value.isNull(), defect("frame", "value is null")).when(~framed, defect("frame", "no frame header"))
     if known_schema_ids is not None:
-        found = found.when(~F.col("schema_id").isin(*known_schema_ids), defect("frame", "unknown schema id"))
-    found = found.when(text.isNull(), defect("utf8", "payload is not UTF-8"))
-    found = found.when(item.isNull(), defect("json", "payload is not one JSON object"))
-    for name in EVENT_FIELDS:
-        found = found.when(~wire.is_json_string(item[name]), defect("schema", f"{name} is not a string"))
+        outer = outer.when(~F.col("schema_id").isin(*known_schema_ids), defect("frame", "unknown schema id"))
+    outer = outer.when(text.isNull(), defect("utf8", "payload is not UTF-8"))
+    outer = outer.when(wire.closes_early(text, fields), not_json)
 
-    checked = parsed.withColumn("defect", found)
+    inner = F.when(F.col("_outer").isNotNull(), F.col("_outer")).when((F.size(items) != 1) | item.isNull(), not_json)
+    for name in EVENT_FIELDS:
+        inner = inner.when(~wire.is_json_string(item[name]), defect("schema", f"{name} is not a string"))
     event = F.struct(*[wire.json_string(item[name]).alias(name) for name in EVENT_FIELDS])
-    return checked.select(
+
+    # One projection per step: each uses results of the one before it several
+    # times, so the optimizer keeps them apart and the JSON is parsed once.
+    split = records.withColumns(
+        {
+            "schema_id": F.when(framed, wire.frame_schema_id(value)),
+            "_text": F.when(framed, wire.frame_text(value)),
+        }
+    )
+    parsed = split.withColumns({"_items": wire.json_items(text, fields), "_outer": outer})
+    return parsed.withColumn("defect", inner).select(
         *[F.col(name) for name in records.columns],
         "schema_id",
         F.when(F.col("defect").isNull(), event).alias("event"),

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillwatch.contract import FAILED_WORD
-from tillwatch.functions.text import amount_value, strip_dots, words
+from tillwatch.functions.text import amount_text, amount_value, strip_dots, words
 
 # Word positions: a message names its order, amount and user before word 9,
 # a successful one its payment or refund id in word 11. A failed one gives
@@ -17,32 +17,39 @@ _REASON_START = 10
 
 
 def parse_messages(df: DataFrame, message: Column) -> DataFrame:
-    """Add the struct ``parsed`` and ``parse_error`` (NULL if all fields are there)."""
-    split = df.withColumn("_words", words(message))
+    """Add the struct ``parsed`` and ``parse_error`` (NULL if all fields are there).
+
+    The fields are columns before they become a struct, so a query that reads
+    some of them does not compute the others.
+    """
     word_list = F.col("_words")
 
     def word(position: int) -> Column:
         return F.get(word_list, F.lit(position))
 
     count = F.size(word_list)
-    failed = word(1).eqNullSafe(FAILED_WORD)
+    failed = F.col("_failed")
     reason = F.array_join(F.slice(word_list, _REASON_START + 1, F.greatest(count - _REASON_START - 2, F.lit(0))), " ")
-    parsed = split.withColumn(
-        "parsed",
-        F.struct(
-            word(0).alias("type"),
-            failed.alias("is_failed"),
-            strip_dots(word(4)).alias("order_id"),
-            amount_value(word(6)).alias("amount"),
-            strip_dots(word(8)).alias("user_id"),
-            strip_dots(F.try_element_at(word_list, F.lit(-1))).alias("ip_address"),
-            F.when(~failed, strip_dots(word(11))).alias("payment_id"),
-            F.when(failed, strip_dots(reason)).alias("fail_reason"),
-        ),
-    )
+    fields = {
+        "type": word(0),
+        "is_failed": failed,
+        "order_id": strip_dots(word(4)),
+        "amount": amount_value(F.col("_amount_text")),
+        "user_id": strip_dots(word(8)),
+        "ip_address": strip_dots(F.try_element_at(word_list, F.lit(-1))),
+        "payment_id": F.when(~failed, strip_dots(word(11))),
+        "fail_reason": F.when(failed, strip_dots(reason)),
+    }
     error = (
         F.when(word_list.isNull(), "message is null")
         .when(count < F.when(failed, _MIN_WORDS).otherwise(_MIN_WORDS_WITH_ID), "message is too short")
-        .when(F.col("parsed.amount").isNull(), "amount is not a number")
+        .when(F.col("_field_amount").isNull(), "amount is not a number")
+    )
+    split = df.withColumn("_words", words(message)).withColumns(
+        {"_failed": word(1).eqNullSafe(FAILED_WORD), "_amount_text": amount_text(word(6))}
+    )
+    flat = split.withColumns({f"_field_{name}": field for name, field in fields.items()})
+    parsed = F.struct(*[F.col(f"_field_{name}").alias(name) for name in fields])
+    return flat.withColumn("parse_error", error).select(
+        *[F.col(name) for name in df.columns], parsed.alias("parsed"), "parse_error"
     )
-    return parsed.withColumn("parse_error", error).drop("_words")
