@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
 
@@ -42,6 +42,11 @@ REFUND_VOLUME = AlertRule("refund_volume", "Refund", False, REFUND_ALERT_TEXT)
 DEFAULT_RULES = (PAYMENT_FAILURES, REFUND_VOLUME)
 
 
+def with_limits(min_count: int, exact_amount: float | None) -> tuple[AlertRule, ...]:
+    """The default rules with other limits."""
+    return tuple(replace(rule, min_count=min_count, exact_amount=exact_amount) for rule in DEFAULT_RULES)
+
+
 def find_alerts(totals: DataFrame, rules: Sequence[AlertRule] = DEFAULT_RULES) -> DataFrame:
     """One row per total and rule that fires, with ``rule`` and ``alert_message``.
 
