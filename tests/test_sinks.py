@@ -1,0 +1,85 @@
+"""Batch folders: format, replay, emptiness."""
+
+from datetime import datetime, timezone
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from tillwatch.contract import ENRICHED_SCHEMA, TOTALS_SCHEMA
+from tillwatch.sinks.batches import BatchFolders, stamp
+
+TIME = datetime(2025, 5, 1, 12, 30, 0, 123456)
+ROWS = [
+    (TIME, "INFO", "Payment", False, "o", 824.23, "u", "1.2.3.4", "p", None),
+    (None, "ERROR", "Payment", True, "o", None, "u", "i", None, ""),
+    (TIME, "ERROR", 'qu"ote', True, "com,ma", 1.0, "back\\", "\\", None, ' blank at the ends " '),
+    (TIME, "ERROR", "é", True, '"', float("inf"), '""', "'", "", "null"),
+]
+
+
+def enriched(spark, rows=ROWS, at=datetime(2025, 6, 7, 8, 59, tzinfo=timezone.utc)):
+    return stamp(spark.createDataFrame(rows, ENRICHED_SCHEMA), F.lit(at))
+
+
+@pytest.mark.parametrize("format", ["csv", "parquet"])
+def test_rows_come_back_exactly(spark, tmp_path, format):
+    folders = BatchFolders(str(tmp_path), format, hourly=True)
+    folder = folders.write(enriched(spark), 3)
+    assert folder == f"{tmp_path}/proc_date=2025-06-07/proc_hour=08/batch_id=3"
+    found = folders.read(spark, ENRICHED_SCHEMA)
+    assert found.columns == [*ENRICHED_SCHEMA.names, "proc_date", "proc_hour", "batch_id"]
+    assert sorted(map(repr, found.select(*ENRICHED_SCHEMA.names).collect())) == sorted(
+        map(repr, spark.createDataFrame(ROWS, ENRICHED_SCHEMA).collect())
+    )
+    assert {tuple(row)[10:] for row in found.collect()} == {("2025-06-07", "08", 3)}
+
+
+def test_csv_cells(spark, tmp_path):
+    folder = BatchFolders(str(tmp_path), hourly=True).write(enriched(spark, ROWS[:2]), 0, files=1)
+    (part,) = Path(folder).glob("part-*.csv")
+    assert part.read_text().splitlines() == [
+        "event_time,level,type,is_failed,order_id,amount,user_id,ip_address,payment_id,fail_reason",
+        "2025-05-01 12:30:00.123456,INFO,Payment,false,o,824.23,u,1.2.3.4,p,",
+        ',ERROR,Payment,true,o,,u,i,,""',
+    ]
+
+
+def test_daily_folder_and_window_columns(spark, tmp_path):
+    rows = [(TIME, TIME, "Payment", True, 2, 3.0)]
+    folders = BatchFolders(str(tmp_path))
+    at = F.lit(datetime(2025, 6, 7, 8, 0, tzinfo=timezone.utc))
+    assert folders.write(stamp(spark.createDataFrame(rows, TOTALS_SCHEMA), at), 1).endswith("/proc_date=2025-06-07/batch_id=1")
+    assert [tuple(row) for row in folders.read(spark, TOTALS_SCHEMA).collect()] == [(*rows[0], "2025-06-07", 1)]
+
+
+def test_replay_replaces_and_other_batches_stay(spark, tmp_path):
+    folders = BatchFolders(str(tmp_path), hourly=True)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        folders.write(enriched(spark), 0)
+        folders.write(enriched(spark), 1)
+        folders.write(enriched(spark), 1)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    counts = folders.read(spark, ENRICHED_SCHEMA).groupBy("batch_id").count().collect()
+    assert {row.batch_id: row["count"] for row in counts} == {0: 4, 1: 4}
+
+
+def test_empty_batch_writes_nothing(spark, tmp_path):
+    folders = BatchFolders(str(tmp_path / "none"))
+    assert folders.write(enriched(spark, []), 0) is None
+    assert not (tmp_path / "none").exists()
+    found = folders.read(spark, ENRICHED_SCHEMA)
+    assert found.isEmpty() and found.columns[-2:] == ["proc_date", "batch_id"]
+
+
+def test_a_filter_on_the_hour_prunes_folders(spark, tmp_path, capsys):
+    folders = BatchFolders(str(tmp_path), "parquet", hourly=True)
+    for hour in (7, 8):
+        folders.write(enriched(spark, at=datetime(2025, 6, 7, hour, tzinfo=timezone.utc)), hour)
+    found = folders.read(spark, ENRICHED_SCHEMA).where("proc_date = '2025-06-07' and proc_hour = '08'")
+    assert found.count() == 4
+    found.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters: [isnotnull(proc_date" in plan and "proc_hour" in plan

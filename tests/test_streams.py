@@ -1,0 +1,227 @@
+"""The streaming queries: modes, watermark, restart and replay."""
+
+import time
+from datetime import datetime
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+from records import Topic, payment, wire_value
+
+from tillwatch.contract import ALERT_SCHEMA, ENRICHED_SCHEMA, QUARANTINE_SCHEMA, TOTALS_SCHEMA
+from tillwatch.operators.enrich import accepted_events, classify_records
+from tillwatch.operators.render import encode_log, payment_events, render_log
+from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, latest_totals, window_totals
+from tillwatch.sinks.batches import STAMP, BatchFolders, stamp
+from tillwatch.sources.files import append_records, read_records, stream_records
+from tillwatch.sources.tables import read_orders
+from tillwatch.streaming import produce, run
+from tillwatch.streaming.jobs import StreamConfig, await_any, start_all, start_enriched, start_totals
+
+
+def text(minute: int, second: int) -> str:
+    return f"2025-05-01T12:{minute:02}:{second:02}+00:00"
+
+
+def minute(number: int) -> datetime:
+    return datetime(2025, 5, 1, 12, number)
+
+
+@pytest.fixture
+def topic(spark, tmp_path):
+    return Topic(spark, tmp_path / "topic")
+
+
+@pytest.fixture
+def config(tmp_path):
+    return StreamConfig(f"{tmp_path}/out", f"{tmp_path}/checkpoints", trigger={"availableNow": True})
+
+
+def stream(spark, topic):
+    """One file per micro-batch."""
+    return stream_records(spark, str(topic.path), max_files_per_trigger=1)
+
+
+def run_totals(spark, topic, config):
+    query = start_totals(stream(spark, topic), config)
+    query.awaitTermination()
+    return query
+
+
+def change_log(spark, config):
+    rows = config.totals.read(spark, TOTALS_SCHEMA).orderBy("batch_id", "start", "type", "is_failed").collect()
+    return [(row.batch_id, row.start, row.type, row.is_failed, row.event_count, row.total_amount) for row in rows]
+
+
+def test_update_mode_gives_changed_groups_with_running_totals(spark, topic, config):
+    topic.add(payment(text(0, 1), 1.0), payment(text(0, 2), 2.0), payment(text(1, 1), 5.0))
+    topic.add(payment(text(0, 58), 4.0))
+    run_totals(spark, topic, config)
+    assert change_log(spark, config)[:3] == [
+        (0, minute(0), "Payment", False, 2, 3.0),
+        (0, minute(1), "Payment", False, 1, 5.0),
+        (1, minute(0), "Payment", False, 3, 7.0),
+    ]
+
+
+def test_late_events_are_dropped_one_batch_after_the_new_maximum(spark, topic, config):
+    topic.add(payment(text(0, 1), 1.0))
+    topic.add(payment(text(5, 0), 1.0))  # new maximum: the watermark moves to 12:04:55 after this batch
+    topic.add(payment(text(0, 2), 2.0))  # still counted
+    topic.add(payment(text(0, 3), 4.0), payment(text(4, 58), 8.0))  # dropped; its window is still open
+    query = run_totals(spark, topic, config)
+    log = change_log(spark, config)
+    assert (2, minute(0), "Payment", False, 2, 3.0) in log
+    assert (3, minute(4), "Payment", False, 1, 8.0) in log
+    assert not any(batch == 3 and start == minute(0) for batch, start, *_ in log)
+    dropped = [operator["numRowsDroppedByWatermark"] for progress in query.recentProgress for operator in progress["stateOperators"]]
+    assert sum(dropped) == 1
+
+
+def test_enriched_keeps_late_and_timeless_events(spark, topic, config):
+    topic.add(payment(text(5, 0), order="first"))
+    topic.add(payment(text(6, 0), order="second"))
+    topic.add(payment(text(0, 0), order="late"), payment("garbage", order="timeless"))
+    start_enriched(stream(spark, topic), config).awaitTermination()
+    found = config.enriched.read(spark, ENRICHED_SCHEMA).orderBy("batch_id", "order_id").collect()
+    assert [(row.batch_id, row.order_id, row.event_time) for row in found] == [
+        (0, "first", minute(5)),
+        (1, "second", minute(6)),
+        (2, "late", minute(0)),
+        (2, "timeless", None),
+    ]
+
+
+def test_timeless_events_are_in_no_window_and_bad_ones_move_no_watermark(spark, topic, config):
+    topic.add(payment("garbage"), payment(text(0, 1)))
+    topic.add(wire_value(text(59, 0), "too short"))
+    topic.add(payment(text(0, 2)))
+    topic.add(payment(text(0, 3)))
+    run_totals(spark, topic, config)
+    (last,) = latest_totals(config.totals.read(spark, TOTALS_SCHEMA)).collect()
+    assert (last.start, last.event_count) == (minute(0), 3)
+
+
+@pytest.mark.parametrize("quarantine", [True, False])
+def test_a_bad_record_does_not_stop_the_stream(spark, topic, config, quarantine):
+    config = StreamConfig(config.output_root, config.checkpoint_root, config.trigger, quarantine=quarantine)
+    bad = [None, b"{}", wire_value(text(0, 1), "short"), b"\x00\x00\x00\x00\x01\xff"]
+    topic.add(*bad, payment(text(0, 1)))
+    topic.add(payment(text(0, 2)))
+    start_enriched(stream(spark, topic), config).awaitTermination()
+    assert config.enriched.read(spark, ENRICHED_SCHEMA).count() == 2
+    rejected = config.quarantined.read(spark, QUARANTINE_SCHEMA).orderBy("offset").collect()
+    if quarantine:
+        assert [(row.stage, row.value) for row in rejected] == list(zip(("frame", "frame", "parse", "utf8"), bad))
+    else:
+        assert rejected == []
+
+
+def test_alerts_repeat_with_every_update_of_their_window(spark, topic, config):
+    topic.add(*[payment(text(0, s), 2.5, failed=True) for s in range(9)])
+    topic.add(payment(text(0, 30), 2.5, failed=True))
+    topic.add(payment(text(0, 31), 2.5, failed=True), payment(text(0, 32), kind="Refund"))
+    run_totals(spark, topic, config)
+    found = config.alerts.read(spark, ALERT_SCHEMA).orderBy("batch_id").collect()
+    assert [(row.batch_id, row.alert_message) for row in found] == [
+        (1, "ALERT: High Payment error rate! 10 errors with $25.00."),
+        (2, "ALERT: High Payment error rate! 11 errors with $27.50."),
+    ]
+
+
+def test_restart_goes_on_where_it_stopped(spark, topic, config):
+    for second in (1, 2):
+        topic.add(payment(text(0, second), 1.0))
+        for start in (start_enriched, start_totals):
+            start(stream(spark, topic), config).awaitTermination()
+    enriched = config.enriched.read(spark, ENRICHED_SCHEMA)
+    assert enriched.count() == 2
+    (last,) = latest_totals(config.totals.read(spark, TOTALS_SCHEMA)).collect()
+    assert (last.event_count, last.total_amount) == (2, 2.0)
+
+
+def test_replayed_batch_keeps_its_stamp_and_replaces_its_folder(spark, topic, tmp_path):
+    """The callback fails after its write; the restart runs the same batch again."""
+    topic.add(payment(text(0, 1)), payment(text(0, 2)))
+    folders = BatchFolders(f"{tmp_path}/out", hourly=True)
+    stamps, crash = [], True
+
+    def write(batch, batch_id):
+        stamps.append((batch_id, batch.select(F.unix_micros(STAMP)).distinct().collect()))
+        folders.write(batch, batch_id)
+        if crash:
+            raise RuntimeError("lost after the write")
+
+    def attempt():
+        events = stamp(accepted_events(classify_records(stream(spark, topic))))
+        writer = events.writeStream.foreachBatch(write).trigger(availableNow=True)
+        writer.option("checkpointLocation", f"{tmp_path}/checkpoint").start().awaitTermination()
+
+    with pytest.raises(StreamingQueryException):
+        attempt()
+    time.sleep(1.1)
+    crash = False
+    attempt()
+    assert len(stamps) == 2 and stamps[0] == stamps[1] and len(stamps[0][1]) == 1
+    assert folders.read(spark, ENRICHED_SCHEMA).count() == 2
+
+
+def test_both_queries_over_one_source_match_the_batch_result(spark, sf_dir, tmp_path, config):
+    """Several batches in event order: final totals and events as in one batch job."""
+    log = render_log(payment_events(read_orders(spark, sf_dir)))
+    topic = Topic(spark, tmp_path / "topic")
+    for part in range(3):
+        rows = encode_log(log.where(f"order_key between {part * 500} and {part * 500 + 499}")).collect()
+        topic.add(*[row.value for row in rows])
+    for query in start_all(stream(spark, topic), config):
+        query.awaitTermination()
+    batch = accepted_events(classify_records(encode_log(log)))
+    events = config.enriched.read(spark, ENRICHED_SCHEMA).select(*ENRICHED_SCHEMA.names)
+    assert events.count() == batch.count() and events.exceptAll(batch).isEmpty()
+    rounded = [F.round("total_amount", 2).alias("total_amount"), "start", "end", "type", "is_failed", "event_count"]
+    final = latest_totals(config.totals.read(spark, TOTALS_SCHEMA)).select(*rounded)
+    whole = flat_totals(window_totals(batch.select(*TOTALS_INPUT))).select(*rounded)
+    assert final.count() == whole.count() and final.exceptAll(whole).isEmpty()
+    assert config.enriched.read(spark, ENRICHED_SCHEMA).select("batch_id").distinct().count() == 3
+
+
+def test_await_any_raises_the_error_of_a_failed_query(spark, topic, tmp_path):
+    topic.add(payment(text(0, 1)))
+    spark.streams.resetTerminated()
+
+    def fail(batch, batch_id):
+        raise RuntimeError("broken sink")
+
+    stream(spark, topic).writeStream.foreachBatch(fail).option("checkpointLocation", f"{tmp_path}/c").start()
+    with pytest.raises(StreamingQueryException):
+        await_any(spark)
+    spark.streams.resetTerminated()
+
+
+def test_processing_time_trigger(spark, topic, config):
+    topic.add(payment(text(0, 1)))
+    config = StreamConfig(config.output_root, config.checkpoint_root, {"processingTime": "1 second"}, format="parquet")
+    query = start_enriched(stream(spark, topic), config)
+    query.processAllAvailable()
+    topic.add(payment(text(0, 2)))
+    query.processAllAvailable()
+    query.stop()
+    assert config.enriched.read(spark, ENRICHED_SCHEMA).count() == 2
+
+
+def test_command_lines(spark, sf_dir, tmp_path, monkeypatch):
+    """Records to files, then both queries over these files."""
+    monkeypatch.setattr(produce, "build_session", lambda *args, **conf: spark)
+    monkeypatch.setattr(run, "build_session", lambda *args, **conf: spark)
+    files = str(tmp_path / "records")
+    produce.main(["--tables", sf_dir, "--files", files])
+    assert read_records(spark, files).count() == 1500
+    arguments = ["--replay", files, "--output", f"{tmp_path}/out", "--checkpoint", f"{tmp_path}/c", "--once"]
+    run.main([*arguments, "--alert-count", "100"])
+    config = run.config_of(run.parser().parse_args(arguments))
+    assert config.trigger == {"availableNow": True}
+    assert config.enriched.read(spark, ENRICHED_SCHEMA).count() == 1500
+    assert latest_totals(config.totals.read(spark, TOTALS_SCHEMA)).count() == 8
+    assert {row.rule for row in config.alerts.read(spark, ALERT_SCHEMA).collect()} == {"payment_failures", "refund_volume"}
+    append_records(read_records(spark, files), f"{tmp_path}/copy")
+    assert read_records(spark, f"{tmp_path}/copy").count() == 1500

@@ -24,7 +24,9 @@ _CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
-_CSV_READ_OPTIONS = _CSV_OPTIONS | {"emptyValue": ""}
+# The reader takes a cell equal to its null mark for null. With a mark that no
+# cell holds, "" stays an empty text and only a cell without quotes is null.
+_CSV_READ_OPTIONS = _CSV_OPTIONS | {"emptyValue": "", "nullValue": "\x00"}
 
 
 def stamp(df: DataFrame, time: Column | None = None) -> DataFrame:
