@@ -1,0 +1,69 @@
+"""Physical plans of the main queries: what is read, parsed and shuffled."""
+
+import re
+
+import pytest
+
+from tillwatch.operators.enrich import accepted_events, classify_records, quarantined_records
+from tillwatch.operators.render import order_records
+from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, window_totals
+from tillwatch.plans import registry
+from tillwatch.plans.batch import order_totals
+from tillwatch.operators.alerts import find_alerts
+from tillwatch.sources.files import append_records, read_records
+from tillwatch.sources.tables import read_orders, spread_out
+
+
+@pytest.fixture(scope="module")
+def topic(spark, sf_dir, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plan") / "topic")
+    append_records(order_records(read_orders(spark, sf_dir)), path)
+    return read_records(spark, path)
+
+
+def plan_of(df, capsys):
+    df.explain("formatted")
+    return capsys.readouterr().out
+
+
+def parses(plan):
+    """JSON parse calls; the rare second form of a payload with brackets is not one."""
+    return len(re.findall(r"from_json\(ArrayType", plan))
+
+
+def test_events_parse_once_and_shuffle_nothing(topic, capsys):
+    for rows in (accepted_events, quarantined_records):
+        plan = plan_of(rows(classify_records(topic)), capsys)
+        assert parses(plan) == 1
+        assert "Exchange" not in plan
+        assert "Python" not in plan
+
+
+def test_totals_read_only_values_and_shuffle_once(topic, capsys):
+    totals = flat_totals(window_totals(accepted_events(classify_records(topic), TOTALS_INPUT)))
+    plan = plan_of(totals, capsys)
+    assert "ReadSchema: struct<value:binary>" in plan
+    assert parses(plan) == 1
+    assert len(re.findall(r"^\(\d+\) Exchange$", plan, re.M)) == 1
+    assert "partial_sum" in plan
+    # fields no total needs are not computed
+    for field in ("ip_address", "payment_id", "fail_reason", "order_id", "user_id"):
+        assert field not in plan
+
+
+def test_alert_keys_are_filtered_before_the_shuffle(spark, sf_dir, capsys):
+    plan = plan_of(find_alerts(order_totals(read_orders(spark, sf_dir))), capsys)
+    below = plan[: plan.index("partial_count")]
+    assert re.search(r"Condition : .*isnotnull\(event_time.*= Refund", below)
+
+
+def test_given_table_is_pruned(spark, sf_dir, capsys):
+    plan = plan_of(registry.queries()["event_class_counts"](spark, sf_dir), capsys)
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan
+
+
+def test_spread_out_leaves_wide_input_alone(spark):
+    cores = spark.sparkContext.defaultParallelism
+    wide, narrow = spark.range(0, 100, 1, cores), spark.range(0, 100, 1, 1)
+    assert spread_out(wide, "id") is wide
+    assert spread_out(narrow, "id").rdd.getNumPartitions() == cores

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tillwatch.contract import ENRICHED_SCHEMA, PARSED_SCHEMA, QUARANTINE_SCHEMA, WATERMARK_DELAY
 from tillwatch.functions.event_time import parse_event_time
 from tillwatch.operators.decode import decode_records
-from tillwatch.operators.parse import parse_messages
+from tillwatch.operators.parse import parse_fields
 
 ENRICHED_COLUMNS = tuple(ENRICHED_SCHEMA.names)
 QUARANTINE_COLUMNS = tuple(QUARANTINE_SCHEMA.names)
@@ -23,9 +23,8 @@ TIME_STAGE = "time"
 def classify_records(records: DataFrame, known_schema_ids: Sequence[int] | None = None) -> DataFrame:
     """All records with the enriched columns and, for defective ones, ``stage`` and ``error``."""
     decoded = decode_records(records, known_schema_ids)
-    parsed = parse_messages(decoded, F.col("event.message")).withColumn(
-        "event_time", parse_event_time(F.col("event.timestamp"))
-    )
+    timed = decoded.withColumn("event_time", parse_event_time(F.col("event.timestamp")))
+    parsed = parse_fields(timed, F.col("event.message"))
     unparsed = F.struct(F.lit("parse").alias("stage"), F.col("parse_error").alias("error"))
     untimed = F.struct(F.lit(TIME_STAGE).alias("stage"), F.lit("timestamp is not a time").alias("error"))
     defect = (
@@ -37,7 +36,7 @@ def classify_records(records: DataFrame, known_schema_ids: Sequence[int] | None
         *[F.col(name) for name in records.columns],
         "event_time",
         F.col("event.level").alias("level"),
-        *[F.col(f"parsed.{name}").alias(name) for name in PARSED_SCHEMA.names],
+        *PARSED_SCHEMA.names,
         F.col("defect.stage").alias("stage"),
         F.col("defect.error").alias("error"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.contract import FAILED_WORD
+from tillwatch.contract import FAILED_WORD, PARSED_SCHEMA
 from tillwatch.functions.text import amount_text, amount_value, strip_dots, words
 
 # Word positions: a message names its order, amount and user before word 9,
@@ -16,11 +16,10 @@ _MIN_WORDS_WITH_ID = 12
 _REASON_START = 10
 
 
-def parse_messages(df: DataFrame, message: Column) -> DataFrame:
-    """Add the struct ``parsed`` and ``parse_error`` (NULL if all fields are there).
+def parse_fields(df: DataFrame, message: Column, prefix: str = "") -> DataFrame:
+    """Add a column per field and ``parse_error`` (NULL if all fields are there).
 
-    The fields are columns before they become a struct, so a query that reads
-    some of them does not compute the others.
+    Being columns of their own, fields that a query does not read are not computed.
     """
     word_list = F.col("_words")
 
@@ -43,13 +42,19 @@ def parse_messages(df: DataFrame, message: Column) -> DataFrame:
     error = (
         F.when(word_list.isNull(), "message is null")
         .when(count < F.when(failed, _MIN_WORDS).otherwise(_MIN_WORDS_WITH_ID), "message is too short")
-        .when(F.col("_field_amount").isNull(), "amount is not a number")
+        .when(F.col(f"{prefix}amount").isNull(), "amount is not a number")
     )
     split = df.withColumn("_words", words(message)).withColumns(
         {"_failed": word(1).eqNullSafe(FAILED_WORD), "_amount_text": amount_text(word(6))}
     )
-    flat = split.withColumns({f"_field_{name}": field for name, field in fields.items()})
-    parsed = F.struct(*[F.col(f"_field_{name}").alias(name) for name in fields])
-    return flat.withColumn("parse_error", error).select(
+    found = split.withColumns({prefix + name: field for name, field in fields.items()})
+    return found.withColumn("parse_error", error).drop("_words", "_failed", "_amount_text")
+
+
+def parse_messages(df: DataFrame, message: Column) -> DataFrame:
+    """Add the struct ``parsed`` and ``parse_error`` (NULL if all fields are there)."""
+    prefix = "_parsed_"
+    parsed = F.struct(*[F.col(prefix + name).alias(name) for name in PARSED_SCHEMA.names])
+    return parse_fields(df, message, prefix).select(
         *[F.col(name) for name in df.columns], parsed.alias("parsed"), "parse_error"
     )
