@@ -6,7 +6,7 @@ from records import payment, records
 
 from tillwatch.sources.kafka import KafkaSource, KafkaTarget
 
-SERVERS = "kafka1:29092,kafka2:29093,kafka3:29094"
+SERVERS = "broker1:9092,broker2:9092"
 
 
 def test_source_defaults():
@@ -49,3 +49,15 @@ def test_the_connector_is_asked_for(spark):
         KafkaSource(SERVERS).batch(spark)
     with pytest.raises(PySparkException, match="(?i)kafka"):
         KafkaTarget(SERVERS).batch_writer(records(spark, payment("2025-05-01"))).save()
+
+
+def test_stream_writer(spark, tmp_path):
+    from records import Topic
+
+    from tillwatch.sources.files import stream_records
+
+    topic = Topic(spark, tmp_path / "topic")
+    topic.add(payment("2025-05-01"))
+    writer = KafkaTarget(SERVERS).stream_writer(stream_records(spark, str(topic.path)), f"{tmp_path}/checkpoint")
+    with pytest.raises(PySparkException, match="(?i)kafka"):
+        writer.start()

@@ -27,6 +27,15 @@ def test_queries_set_their_time_zone(spark, sf_dir):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize("name", ["validate_required", "accepted_with_faults", "parse_untidy_message", "event_time_parse"])
+def test_queries_without_ansi_mode(spark, sf_dir, name):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert difference(spark, name, sf_dir)[1] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 def test_entry(spark):
     result = contract.entry(spark)
     assert result.columns == ["start", "end", "type", "is_failed", "event_count", "total_amount"]

@@ -12,7 +12,7 @@ from tillwatch.contract import ALERT_SCHEMA, ENRICHED_SCHEMA, QUARANTINE_SCHEMA,
 from tillwatch.operators.enrich import accepted_events, classify_records
 from tillwatch.operators.render import encode_log, payment_events, render_log
 from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, latest_totals, window_totals
-from tillwatch.sinks.batches import STAMP, BatchFolders, stamp
+from tillwatch.sinks.batches import STAMP, BatchFolders, glance, stamp
 from tillwatch.sources.files import append_records, read_records, stream_records
 from tillwatch.sources.tables import read_orders
 from tillwatch.streaming import produce, run
@@ -117,6 +117,15 @@ def test_a_bad_record_does_not_stop_the_stream(spark, topic, config, quarantine)
         assert rejected == []
 
 
+def test_empty_batches_write_nothing(spark, topic, config, tmp_path):
+    topic.add(payment(text(0, 1)))
+    topic.add()
+    start_enriched(stream(spark, topic), config).awaitTermination()
+    run_totals(spark, topic, config)
+    written = sorted(str(path.relative_to(tmp_path / "out")).split("/")[0] for path in (tmp_path / "out").rglob("batch_id=*"))
+    assert written == ["enriched", "totals"]
+
+
 def test_alerts_repeat_with_every_update_of_their_window(spark, topic, config):
     topic.add(*[payment(text(0, s), 2.5, failed=True) for s in range(9)])
     topic.add(payment(text(0, 30), 2.5, failed=True))
@@ -148,7 +157,7 @@ def test_replayed_batch_keeps_its_stamp_and_replaces_its_folder(spark, topic, tm
 
     def write(batch, batch_id):
         stamps.append((batch_id, batch.select(F.unix_micros(STAMP)).distinct().collect()))
-        folders.write(batch, batch_id)
+        folders.write(batch, batch_id, glance(batch))
         if crash:
             raise RuntimeError("lost after the write")
 

@@ -54,7 +54,13 @@ def test_latest_totals(spark):
         (at(0), at(60), "Payment", False, 5, 9.0, 3),
         (at(0), at(60), "Payment", False, 3, 4.0, 1),
         (at(0), at(60), None, None, 1, None, 2),
+        (at(60), at(120), "Payment", True, 1, 5.0, 0),
+        (at(60), at(120), "Payment", True, 2, None, 1),
     ]
     schema = "start timestamp, end timestamp, type string, is_failed boolean, event_count long, total_amount double, batch_id long"
     found = {tuple(row) for row in latest_totals(spark.createDataFrame(log, schema)).collect()}
-    assert found == {(at(0), at(60), "Payment", False, 5, 9.0), (at(0), at(60), None, None, 1, None)}
+    assert found == {
+        (at(0), at(60), "Payment", False, 5, 9.0),
+        (at(0), at(60), None, None, 1, None),
+        (at(60), at(120), "Payment", True, 2, None),
+    }

@@ -60,6 +60,7 @@ ALERT_EXACT_AMOUNT = 10000.0
 PAYMENT_ALERT_TEXT = "ALERT: High Payment error rate! %d errors with $%.2f."
 REFUND_ALERT_TEXT = "ALERT: High Refund requests rate! %d requests with $%.2f$."
 
+# Names, order and types of all fields below.
 EVENT_FIELDS = ("timestamp", "level", "message")
 
 LOG_EVENT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in EVENT_FIELDS])

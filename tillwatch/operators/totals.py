@@ -29,9 +29,6 @@ def flat_totals(totals: DataFrame) -> DataFrame:
 
 def latest_totals(change_log: DataFrame) -> DataFrame:
     """Final totals per group from a log of running totals with their ``batch_id``."""
-    last = F.max_by(F.struct("event_count", "total_amount"), "batch_id")
-    return (
-        change_log.groupBy("start", "end", "type", "is_failed")
-        .agg(last.alias("last"))
-        .select("start", "end", "type", "is_failed", "last.event_count", "last.total_amount")
+    return change_log.groupBy("start", "end", "type", "is_failed").agg(
+        *[F.max_by(name, "batch_id").alias(name) for name in ("event_count", "total_amount")]
     )

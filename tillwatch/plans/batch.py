@@ -18,7 +18,7 @@ from tillwatch.operators.render import encode_log, order_records, payment_events
 from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, window_totals
 from tillwatch.plans.variants import faulty_records, sparse_events, time_texts, untidy_messages
 from tillwatch.session import work_dir
-from tillwatch.sinks.batches import BatchFolders, stamp
+from tillwatch.sinks.batches import BatchFolders, glance, stamp
 from tillwatch.sources.tables import read_orders
 
 
@@ -132,7 +132,7 @@ def _written_twice(folders: BatchFolders, rows: DataFrame, schema: StructType) -
     """What the sink holds after a batch and its replay."""
     batch = stamp(rows, F.lit(datetime.now(timezone.utc)))
     for _ in range(2):
-        folders.write(batch, batch_id=0)
+        folders.write(batch, batch_id=0, summary=glance(batch))
     return presentable(folders.read(rows.sparkSession, schema).select(*schema.names))
 
 

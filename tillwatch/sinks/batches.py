@@ -40,6 +40,35 @@ def stamp(df: DataFrame, time: Column | None = None) -> DataFrame:
     return df.withColumn(STAMP, F.current_timestamp() if time is None else time)
 
 
+@dataclass(frozen=True)
+class BatchSummary:
+    """Rows of a stamped batch and when it was processed."""
+
+    rows: int
+    defects: int
+    date: str | None
+    hour: str | None
+
+
+def summarize(batch: DataFrame, defective: Column | None = None) -> BatchSummary:
+    """One pass over all tasks of a batch; it also fills the cache of a persisted one."""
+    time = F.max(STAMP)
+    row = batch.agg(
+        F.count("*"),
+        F.count_if(F.lit(False) if defective is None else defective),
+        F.date_format(time, "yyyy-MM-dd"),
+        F.date_format(time, "HH"),
+    ).first()
+    return BatchSummary(*row)
+
+
+def glance(batch: DataFrame) -> BatchSummary:
+    """Summary of whether there is a first row, for a batch that is not persisted."""
+    time = F.col(STAMP)
+    first = batch.select(F.date_format(time, "yyyy-MM-dd"), F.date_format(time, "HH")).head(1)
+    return BatchSummary(1, 0, *first[0]) if first else BatchSummary(0, 0, None, None)
+
+
 @dataclass(frozen=True)
 class BatchFolders:
     """Folders ``<root>/proc_date=…[/proc_hour=…]/batch_id=…`` of one stream.
@@ -54,23 +83,14 @@ class BatchFolders:
     format: str = "csv"
     hourly: bool = False
 
-    def folder(self, batch: DataFrame, batch_id: int) -> str | None:
-        """Folder of a stamped batch, None for an empty one."""
-        time = F.col(STAMP)
-        first = batch.select(
-            F.date_format(time, "yyyy-MM-dd").alias("date"), F.date_format(time, "HH").alias("hour")
-        ).head(1)
-        if not first:
-            return None
-        hour = f"/proc_hour={first[0].hour}" if self.hourly else ""
-        return f"{self.root.rstrip('/')}/proc_date={first[0].date}{hour}/batch_id={batch_id}"
-
-    def write(self, batch: DataFrame, batch_id: int, files: int | None = None) -> str | None:
-        """Write a stamped batch from all its tasks, or merged to at most ``files`` files."""
-        folder = self.folder(batch, batch_id)
-        if folder is None:
-            return None
-        rows = batch.drop(STAMP)
+    def folder(self, summary: BatchSummary, batch_id: int) -> str:
+        hour = f"/proc_hour={summary.hour}" if self.hourly else ""
+        return f"{self.root.rstrip('/')}/proc_date={summary.date}{hour}/batch_id={batch_id}"
+
+    def write(self, rows: DataFrame, batch_id: int, summary: BatchSummary, files: int | None = None) -> str:
+        """Write rows of a summarized batch from all tasks, or merged to at most ``files`` files."""
+        folder = self.folder(summary, batch_id)
+        rows = rows.drop(STAMP)
         if files is not None:
             rows = rows.coalesce(files)
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").format(self.format)

@@ -23,7 +23,7 @@ from tillwatch.operators.enrich import (
     with_watermark,
 )
 from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, window_totals
-from tillwatch.sinks.batches import STAMP, BatchFolders, stamp
+from tillwatch.sinks.batches import BatchFolders, glance, stamp, summarize
 
 # Totals are small rows; a batch over a long backlog can still hold many.
 TOTALS_PER_FILE = 1_000_000
@@ -74,7 +74,9 @@ def totals_stream(records: DataFrame, config: StreamConfig) -> DataFrame:
 
 def _write_enriched(config: StreamConfig) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        config.enriched.write(batch, batch_id)
+        summary = glance(batch)
+        if summary.rows:
+            config.enriched.write(batch, batch_id, summary)
 
     return write
 
@@ -84,8 +86,11 @@ def _write_enriched_and_quarantine(config: StreamConfig) -> Callable[[DataFrame,
         # two outputs of one decoding: read the source and parse it once
         batch.persist()
         try:
-            config.enriched.write(batch.where(is_accepted()).select(*ENRICHED_COLUMNS, STAMP), batch_id)
-            config.quarantined.write(batch.where(is_defective()).select(*QUARANTINE_COLUMNS, STAMP), batch_id)
+            summary = summarize(batch, is_defective())
+            if summary.rows:
+                config.enriched.write(batch.where(is_accepted()).select(*ENRICHED_COLUMNS), batch_id, summary)
+            if summary.defects:
+                config.quarantined.write(batch.where(is_defective()).select(*QUARANTINE_COLUMNS), batch_id, summary)
         finally:
             batch.unpersist()
 
@@ -97,11 +102,13 @@ def _write_totals_and_alerts(config: StreamConfig) -> Callable[[DataFrame, int],
         # without this every action would run the stateful aggregation again
         batch.persist()
         try:
-            rows = batch.count()
-            if rows:
-                files = ceil(rows / TOTALS_PER_FILE)
-                config.totals.write(batch, batch_id, files)
-                config.alerts.write(find_alerts(batch, config.rules), batch_id, files)
+            summary = summarize(batch)
+            if summary.rows:
+                files = ceil(summary.rows / TOTALS_PER_FILE)
+                config.totals.write(batch, batch_id, summary, files)
+                alerts = find_alerts(batch, config.rules)
+                if not alerts.isEmpty():
+                    config.alerts.write(alerts, batch_id, summary, files)
         finally:
             batch.unpersist()
 
