@@ -11,12 +11,13 @@ from tillwatch.contract import EVENT_FIELDS
 from tillwatch.functions import wire
 
 
-def decode_records(records: DataFrame, known_schema_ids: Sequence[int] | None = None) -> DataFrame:
-    """Add ``schema_id``, ``event`` and ``defect`` to records with a ``value``.
+def decode_fields(
+    records: DataFrame, known_schema_ids: Sequence[int] | None = None, prefix: str = "event_"
+) -> DataFrame:
+    """Add ``schema_id``, a column per event field and ``defect`` to records with a ``value``.
 
-    ``event`` is the struct of the three text fields and ``defect`` is NULL,
-    or ``event`` is NULL and ``defect`` is a struct of ``stage`` (``frame``,
-    ``utf8``, ``json`` or ``schema``) and ``error``. Without
+    ``defect`` is NULL, or it is a struct of ``stage`` (``frame``, ``utf8``,
+    ``json`` or ``schema``) and ``error``, and the fields are NULL. Without
     ``known_schema_ids`` every schema id is taken. No row is dropped, and no
     row makes the query fail.
     """
@@ -38,7 +39,6 @@ def decode_records(records: DataFrame, known_schema_ids: Sequence[int] | None =
     inner = F.when(F.col("_outer").isNotNull(), F.col("_outer")).when((F.size(items) != 1) | item.isNull(), not_json)
     for name in EVENT_FIELDS:
         inner = inner.when(~wire.is_json_string(item[name]), defect("schema", f"{name} is not a string"))
-    event = F.struct(*[wire.json_string(item[name]).alias(name) for name in EVENT_FIELDS])
 
     # One projection per step: each uses results of the one before it several
     # times, so the optimizer keeps them apart and the JSON is parsed once.
@@ -49,7 +49,20 @@ def decode_records(records: DataFrame, known_schema_ids: Sequence[int] | None =
         }
     )
     parsed = split.withColumns({"_items": wire.json_items(text, fields), "_outer": outer})
+    sound = F.col("defect").isNull()
     return parsed.withColumn("defect", inner).select(
+        *[F.col(name) for name in records.columns],
+        "schema_id",
+        *[F.when(sound, wire.json_string(item[name])).alias(prefix + name) for name in EVENT_FIELDS],
+        "defect",
+    )
+
+
+def decode_records(records: DataFrame, known_schema_ids: Sequence[int] | None = None) -> DataFrame:
+    """Add ``schema_id``, the struct ``event`` (NULL if defective) and ``defect``; see ``decode_fields``."""
+    prefix = "_event_"
+    event = F.struct(*[F.col(prefix + name).alias(name) for name in EVENT_FIELDS])
+    return decode_fields(records, known_schema_ids, prefix).select(
         *[F.col(name) for name in records.columns],
         "schema_id",
         F.when(F.col("defect").isNull(), event).alias("event"),

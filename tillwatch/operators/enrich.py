@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwatch.contract import ENRICHED_SCHEMA, PARSED_SCHEMA, QUARANTINE_SCHEMA, WATERMARK_DELAY
 from tillwatch.functions.event_time import parse_event_time
-from tillwatch.operators.decode import decode_records
+from tillwatch.operators.decode import decode_fields
 from tillwatch.operators.parse import parse_fields
 
 ENRICHED_COLUMNS = tuple(ENRICHED_SCHEMA.names)
@@ -22,9 +22,9 @@ TIME_STAGE = "time"
 
 def classify_records(records: DataFrame, known_schema_ids: Sequence[int] | None = None) -> DataFrame:
     """All records with the enriched columns and, for defective ones, ``stage`` and ``error``."""
-    decoded = decode_records(records, known_schema_ids)
-    timed = decoded.withColumn("event_time", parse_event_time(F.col("event.timestamp")))
-    parsed = parse_fields(timed, F.col("event.message"))
+    decoded = decode_fields(records, known_schema_ids)
+    timed = decoded.withColumn("event_time", parse_event_time(F.col("event_timestamp")))
+    parsed = parse_fields(timed, F.col("event_message"))
     unparsed = F.struct(F.lit("parse").alias("stage"), F.col("parse_error").alias("error"))
     untimed = F.struct(F.lit(TIME_STAGE).alias("stage"), F.lit("timestamp is not a time").alias("error"))
     defect = (
@@ -35,7 +35,7 @@ def classify_records(records: DataFrame, known_schema_ids: Sequence[int] | None
     return parsed.withColumn("defect", defect).select(
         *[F.col(name) for name in records.columns],
         "event_time",
-        F.col("event.level").alias("level"),
+        F.col("event_level").alias("level"),
         *PARSED_SCHEMA.names,
         F.col("defect.stage").alias("stage"),
         F.col("defect.error").alias("error"),
