@@ -1,6 +1,8 @@
 """The streaming queries: modes, watermark, restart and replay."""
 
+import re
 import time
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -10,7 +12,7 @@ from records import Topic, payment, wire_value
 
 from tillwatch.contract import ALERT_SCHEMA, ENRICHED_SCHEMA, QUARANTINE_SCHEMA, TOTALS_SCHEMA
 from tillwatch.operators.enrich import accepted_events, classify_records
-from tillwatch.operators.render import encode_log, payment_events, render_log
+from tillwatch.operators.render import encode_log, order_records, payment_events, render_log
 from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, latest_totals, window_totals
 from tillwatch.sinks.batches import STAMP, BatchFolders, glance, stamp
 from tillwatch.sources.files import append_records, read_records, stream_records
@@ -104,7 +106,7 @@ def test_timeless_events_are_in_no_window_and_bad_ones_move_no_watermark(spark,
 
 @pytest.mark.parametrize("quarantine", [True, False])
 def test_a_bad_record_does_not_stop_the_stream(spark, topic, config, quarantine):
-    config = StreamConfig(config.output_root, config.checkpoint_root, config.trigger, quarantine=quarantine)
+    config = replace(config, quarantine=quarantine)
     bad = [None, b"{}", wire_value(text(0, 1), "short"), b"\x00\x00\x00\x00\x01\xff"]
     topic.add(*bad, payment(text(0, 1)))
     topic.add(payment(text(0, 2)))
@@ -207,9 +209,37 @@ def test_await_any_raises_the_error_of_a_failed_query(spark, topic, tmp_path):
     spark.streams.resetTerminated()
 
 
+@pytest.mark.parametrize("quarantine", [True, False])
+def test_merged_files(spark, sf_dir, tmp_path, config, quarantine):
+    append_records(order_records(read_orders(spark, sf_dir)), f"{tmp_path}/topic")
+    assert len(list((tmp_path / "topic").glob("*.parquet"))) > 2
+    config = replace(config, enriched_files=2, quarantine=quarantine)
+    start_enriched(stream_records(spark, f"{tmp_path}/topic"), config).awaitTermination()
+    assert len(list((tmp_path / "out").rglob("part-*.csv"))) == 2
+    assert config.enriched.read(spark, ENRICHED_SCHEMA).count() == 1500
+
+
+@pytest.mark.parametrize("start", [start_enriched, start_totals])
+def test_streams_parse_once(spark, topic, config, start, capsys):
+    topic.add(payment(text(0, 1)))
+    # the plan shown is that of the last batch, which else is an empty one
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        query = start(stream(spark, topic), config)
+        query.awaitTermination()
+        query.explain()
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+    plan = capsys.readouterr().out
+    assert len(re.findall(r"from_json\(ArrayType", plan)) == 1
+    assert "Python" not in plan
+    if start is start_totals:
+        assert "StateStoreSave" in plan and plan.count("Exchange") == 1
+
+
 def test_processing_time_trigger(spark, topic, config):
     topic.add(payment(text(0, 1)))
-    config = StreamConfig(config.output_root, config.checkpoint_root, {"processingTime": "1 second"}, format="parquet")
+    config = replace(config, trigger={"processingTime": "1 second"}, format="parquet")
     query = start_enriched(stream(spark, topic), config)
     query.processAllAvailable()
     topic.add(payment(text(0, 2)))

@@ -31,7 +31,12 @@ TOTALS_PER_FILE = 1_000_000
 
 @dataclass(frozen=True)
 class StreamConfig:
-    """Output root, checkpoint root and the knobs of both queries."""
+    """Output root, checkpoint root and the knobs of both queries.
+
+    ``enriched_files`` merges the enriched events of a batch to that many
+    files, by a shuffle, so that decoding keeps its tasks; without it each
+    task writes its own file.
+    """
 
     output_root: str
     checkpoint_root: str
@@ -42,6 +47,7 @@ class StreamConfig:
     known_schema_ids: Sequence[int] | None = None
     quarantine: bool = True
     format: str = "csv"
+    enriched_files: int | None = None
 
     @property
     def enriched(self) -> BatchFolders:
@@ -72,11 +78,15 @@ def totals_stream(records: DataFrame, config: StreamConfig) -> DataFrame:
     return window_totals(with_watermark(events, config.watermark_delay), config.window_length)
 
 
+def _merged(events: DataFrame, config: StreamConfig) -> DataFrame:
+    return events if config.enriched_files is None else events.repartition(config.enriched_files)
+
+
 def _write_enriched(config: StreamConfig) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         summary = glance(batch)
         if summary.rows:
-            config.enriched.write(batch, batch_id, summary)
+            config.enriched.write(_merged(batch, config), batch_id, summary)
 
     return write
 
@@ -88,7 +98,8 @@ def _write_enriched_and_quarantine(config: StreamConfig) -> Callable[[DataFrame,
         try:
             summary = summarize(batch, is_defective())
             if summary.rows:
-                config.enriched.write(batch.where(is_accepted()).select(*ENRICHED_COLUMNS), batch_id, summary)
+                events = batch.where(is_accepted()).select(*ENRICHED_COLUMNS)
+                config.enriched.write(_merged(events, config), batch_id, summary)
             if summary.defects:
                 config.quarantined.write(batch.where(is_defective()).select(*QUARANTINE_COLUMNS), batch_id, summary)
         finally:

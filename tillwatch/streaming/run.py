@@ -40,6 +40,7 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--output", required=True, help="root folder of all results")
     args.add_argument("--checkpoint", required=True, help="root folder of both checkpoints")
     args.add_argument("--format", choices=("csv", "parquet"), default="csv")
+    args.add_argument("--enriched-files", type=int, help="files per batch of enriched events; default one per task")
     args.add_argument("--no-quarantine", action="store_true", help="do not keep defective records")
     args.add_argument("--schema-id", type=int, action="append", help="accept only this schema id; repeatable")
     args.add_argument("--trigger", default=TRIGGER_INTERVAL)
@@ -63,6 +64,7 @@ def config_of(args: argparse.Namespace) -> StreamConfig:
         known_schema_ids=args.schema_id,
         quarantine=not args.no_quarantine,
         format=args.format,
+        enriched_files=args.enriched_files,
     )
 
 
