@@ -32,6 +32,8 @@ def decode(spark, *values, **options):
         '{"nested": {"timestamp": 5}, ' + GOOD_TEXT[1:],
         # a repeated key: the last one counts
         '{"level": 5, ' + GOOD_TEXT[1:],
+        '{"long": ' + "1" * 5000 + ", " + GOOD_TEXT[1:],
+        '{"deep": ' + "[" * 900 + "]" * 900 + ", " + GOOD_TEXT[1:],
     ],
 )
 def test_accepted_payloads(spark, text):
@@ -41,7 +43,7 @@ def test_accepted_payloads(spark, text):
     assert row.schema_id == 7
 
 
-@pytest.mark.parametrize("message", ["list [1] and ]", 'quote " and \\ and }', "café  ", "null", "5", "", "true", "{}"])
+@pytest.mark.parametrize("message", [pytest.param("a b " * 6_000_000, id="long"), "list [1] and ]", 'quote " and \\ and }', "café  ", "null", "5", "", "true", "{}"])
 def test_any_message_text_comes_back(spark, message):
     (row,) = decode(spark, framed(json.dumps(GOOD | {"message": message})))
     assert row.defect is None

@@ -9,8 +9,9 @@ from pyspark.sql import types as T
 FRAME_BYTES = 5
 _REST = 2**31 - 1
 
-# The parser's default would also take 'single quoted' text.
-_STRICT_JSON = {"allowSingleQuotes": "false"}
+# The parser's defaults would also take 'single quoted' text, and refuse long
+# texts and numbers.
+_STRICT_JSON = {"allowSingleQuotes": "false", "maxStringLen": str(_REST), "maxNumLen": str(_REST)}
 
 
 def frame(json_text: Column, schema_id: int) -> Column:
