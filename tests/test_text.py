@@ -39,6 +39,14 @@ def test_whitespace_is_what_python_calls_space():
     assert set(WHITESPACE) == {chr(code) for code in range(0x110000) if chr(code).isspace()}
 
 
+def test_every_character_separates_or_not_as_it_should(spark):
+    characters = [chr(code) for code in range(0x20000) if not 0xD800 <= code < 0xE000]
+    split = evaluate(spark, [f"a{char}b" for char in characters], words)
+    assert [parts == ["a", "b"] for parts in split] == [char.isspace() for char in characters]
+    ends = evaluate(spark, [f"{char}a{char}" for char in characters], words)
+    assert [parts == ["a"] for parts in ends] == [char.isspace() or char == "" for char in characters]
+
+
 word = st.text(st.characters(exclude_characters=WHITESPACE, exclude_categories=["Cs"]), min_size=1, max_size=6)
 gap = st.text(st.sampled_from(WHITESPACE), min_size=1, max_size=3)
 
