@@ -6,23 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillwatch.llm.common import table
+from tillwatch.llm.common import held_out, table
+from tillwatch.llm.quality import scored
+from tillwatch.llm.rules import op3_quality_rules as rules_of
 from tillwatch.llm.sharding import op4_sampled_splitter_shards as shards_of
 from tillwatch.llm.simhash import op9_simhash_near_dedup as simhash_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sampled_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards_of(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_of(table(spark, sf_dir, "documents"))
 
 
 _QUERIES: tuple[Query, ...] = (
+    op3_quality_rules,
     op4_sampled_splitter_shards,
+    op7_quality_classifier,
     op9_simhash_near_dedup,
 )
 
