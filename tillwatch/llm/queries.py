@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.llm.common import held_out, table
+from tillwatch.llm.packing import pack
 from tillwatch.llm.quality import scored
 from tillwatch.llm.rules import op3_quality_rules as rules_of
 from tillwatch.llm.sharding import op4_sampled_splitter_shards as shards_of
@@ -32,11 +33,16 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_of(table(spark, sf_dir, "documents"))
 
 
+def op10_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 _QUERIES: tuple[Query, ...] = (
     op3_quality_rules,
     op4_sampled_splitter_shards,
     op7_quality_classifier,
     op9_simhash_near_dedup,
+    op10_order_preserving_packing,
 )
 
 
