@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.llm.common import held_out, table
+from tillwatch.llm.html_main import op8_line_block_html as html_of
 from tillwatch.llm.packing import pack
 from tillwatch.llm.quality import scored
 from tillwatch.llm.rules import op3_quality_rules as rules_of
@@ -29,6 +30,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_of(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_of(table(spark, sf_dir, "documents"))
 
@@ -41,6 +46,7 @@ _QUERIES: tuple[Query, ...] = (
     op3_quality_rules,
     op4_sampled_splitter_shards,
     op7_quality_classifier,
+    op8_line_block_html,
     op9_simhash_near_dedup,
     op10_order_preserving_packing,
 )
