@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.llm.common import held_out, table
 from tillwatch.llm.html_main import op8_line_block_html as html_of
+from tillwatch.llm.language import fit_language, identify
 from tillwatch.llm.packing import pack
 from tillwatch.llm.quality import scored
 from tillwatch.llm.rules import op3_quality_rules as rules_of
@@ -17,6 +18,12 @@ from tillwatch.llm.simhash import op9_simhash_near_dedup as simhash_of
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_byte_network_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = identify(docs.select("doc_id", "text"), fit_language(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +50,7 @@ def op10_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 _QUERIES: tuple[Query, ...] = (
+    op1_byte_network_language,
     op3_quality_rules,
     op4_sampled_splitter_shards,
     op7_quality_classifier,
