@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.llm.common import held_out, table
+from tillwatch.llm.embed_dedup import near_duplicate_vectors
 from tillwatch.llm.html_main import op8_line_block_html as html_of
 from tillwatch.llm.language import fit_language, identify
 from tillwatch.llm.packing import pack
@@ -32,6 +33,10 @@ def op4_sampled_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards_of(table(spark, sf_dir, "documents"))
 
 
+def op5_hyperplane_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", held_out().alias("held_out"), "score", "predicted")
@@ -53,6 +58,7 @@ _QUERIES: tuple[Query, ...] = (
     op1_byte_network_language,
     op3_quality_rules,
     op4_sampled_splitter_shards,
+    op5_hyperplane_embedding_dedup,
     op7_quality_classifier,
     op8_line_block_html,
     op9_simhash_near_dedup,
