@@ -11,6 +11,7 @@ from tillwatch.llm.embed_dedup import near_duplicate_vectors
 from tillwatch.llm.html_main import op8_line_block_html as html_of
 from tillwatch.llm.language import fit_language, identify
 from tillwatch.llm.packing import pack
+from tillwatch.llm.piece_lattice import op6_sentencepiece_lattice as pieces_of
 from tillwatch.llm.quality import scored
 from tillwatch.llm.rules import op3_quality_rules as rules_of
 from tillwatch.llm.sharding import op4_sampled_splitter_shards as shards_of
@@ -37,6 +38,10 @@ def op5_hyperplane_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFram
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op6_sentencepiece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_of(table(spark, sf_dir, "conversations"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", held_out().alias("held_out"), "score", "predicted")
@@ -59,6 +64,7 @@ _QUERIES: tuple[Query, ...] = (
     op3_quality_rules,
     op4_sampled_splitter_shards,
     op5_hyperplane_embedding_dedup,
+    op6_sentencepiece_lattice,
     op7_quality_classifier,
     op8_line_block_html,
     op9_simhash_near_dedup,
