@@ -10,6 +10,7 @@ from tillwatch.llm.common import held_out, table
 from tillwatch.llm.embed_dedup import near_duplicate_vectors
 from tillwatch.llm.html_main import op8_line_block_html as html_of
 from tillwatch.llm.language import fit_language, identify
+from tillwatch.llm.licenses import op2_license_scan as licenses_of
 from tillwatch.llm.packing import pack
 from tillwatch.llm.piece_lattice import op6_sentencepiece_lattice as pieces_of
 from tillwatch.llm.quality import scored
@@ -26,6 +27,10 @@ def op1_byte_network_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses_of(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -61,6 +66,7 @@ def op10_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame
 
 _QUERIES: tuple[Query, ...] = (
     op1_byte_network_language,
+    op2_license_scan,
     op3_quality_rules,
     op4_sampled_splitter_shards,
     op5_hyperplane_embedding_dedup,
