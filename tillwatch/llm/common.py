@@ -31,3 +31,11 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def learnable(id_col: str = "doc_id") -> Column:
     return F.coalesce(remainder(id_col) != 1, F.lit(False))
+
+
+def free_prefix(frame: DataFrame) -> str:
+    """A prefix that no column of the frame starts with, for columns of our own beside them."""
+    prefix = "_"
+    while any(name.startswith(prefix) for name in frame.columns):
+        prefix += "_"
+    return prefix

@@ -129,14 +129,14 @@ def isotonic(xs: np.ndarray, ones: np.ndarray, counts: np.ndarray) -> tuple[np.n
     return np.array([b[0] / b[2] for b in blocks]), np.array([b[1] / b[2] for b in blocks])
 
 
-def _scores(model: QualityModel, calibrated: bool) -> Column:
+def _scores(model: QualityModel, calibrated: bool, features: str = "features") -> Column:
     @F.pandas_udf("double")
-    def scores(features: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in features:
+    def scores(rows: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in rows:
             stats = np.vstack(batch.to_list()) if len(batch) else np.zeros((0, N_STATS))
             yield pd.Series(model.score(stats) if calibrated else model.raw(stats), dtype="float64")
 
-    return scores(F.col("features"))
+    return scores(F.col(features))
 
 
 def fit_quality(labelled: DataFrame) -> QualityModel:
@@ -166,19 +166,24 @@ def fit_quality(labelled: DataFrame) -> QualityModel:
     return QualityModel(mean, scale, weights, xs, np.clip(ys, 0.0, 1.0))
 
 
-def scored(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``features``, ``score`` (likelihood of label 1) and ``predicted`` (1 from a score of 0.5).
+def scored(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str, str] = ("features", "score", "predicted"), carry: list[str] | None = None
+) -> DataFrame:
+    """``docs`` with statistics, score (likelihood of label 1) and prediction (1 from a score of 0.5).
 
     Learns from every labelled row of ``docs`` that is not held out; an id that is labelled both ways
     teaches nothing. Null and empty texts have zero statistics and get a score like any other; repeated
-    rows stay. Columns named features, score or predicted are replaced.
+    rows stay. Rows keep the columns ``carry`` (all by default); one named as the added ones (``names``) is replaced.
     """
-    rows = written(with_stats(docs.drop("features", "score", "predicted"), text_col), "features")
+    features, score, predicted = names
+    docs = docs.drop(*names)
+    carried = [name for name in (docs.columns if carry is None else carry) if name not in names]
+    rows = written(with_stats(docs, text_col, features).select(*[F.col(f"`{name}`") for name in dict.fromkeys([*carried, id_col, features])]), "features")
     one = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("y"))
     one = one.where("low = y").select(F.col("doc_id").alias("labelled_id"), "y")
-    part = F.pmod(F.xxhash64("labelled_id"), F.lit(4)) == 0
-    usable = rows.where(learnable(id_col))
-    labelled = written(usable.join(one, usable[id_col] == one["labelled_id"]).select("features", "y", part.alias("part")), "labelled")
+    usable = rows.where(learnable(id_col)).select(F.col(id_col).alias("id"), F.col(features).alias("features"))
+    part = F.pmod(F.xxhash64("id"), F.lit(4)) == 0
+    labelled = written(usable.join(one, F.col("id") == F.col("labelled_id")).select("features", "y", part.alias("part")), "labelled")
     model = fit_quality(labelled)
-    out = rows.withColumn("score", _scores(model, True))
-    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    out = rows.withColumn(score, _scores(model, True, features))
+    return out.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))

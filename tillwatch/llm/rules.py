@@ -10,7 +10,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import learnable, written
+from tillwatch.llm.common import free_prefix, learnable, written
 
 MIN_WORDS = 10
 #: A text fails the base check if more than this share (in percent) of its words is repeated.
@@ -34,64 +34,66 @@ def with_stats(docs: DataFrame, text_col: str = "text", stats: str = "stats") ->
 
     Each step is a projection of its own, so that words, lines and windows are computed once per row.
     """
-    keep = [F.col(f"`{name}`") for name in docs.columns if name != stats]
+    docs = docs.drop(stats)
+    keep = [F.col(f"`{name}`") for name in docs.columns]
+    own = free_prefix(docs)
     text = F.coalesce(F.col(text_col), F.lit(""))
     trimmed = F.btrim(text, F.lit(_SPACE))
     lines = F.filter(F.split(text, "\n"), lambda line: F.btrim(line, F.lit(_SPACE)) != "")
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
-    out = docs.select(*keep, words.alias("_words"), lines.alias("_lines"))
+    out = docs.select(*keep, words.alias(f"{own}words"), lines.alias(f"{own}lines"))
 
-    n = F.size("_words")
-    at = [lambda i, k=k: F.get("_words", i + k) for k in range(WINDOW_WORDS)]
+    n = F.size(f"{own}words")
+    at = [lambda i, k=k: F.get(f"{own}words", i + k) for k in range(WINDOW_WORDS)]
     windows = F.when(
         n >= WINDOW_WORDS,
         F.transform(F.sequence(F.lit(0), n - WINDOW_WORDS), lambda i: F.xxhash64(*[word(i) for word in at])),
     )
     out = out.select(
         *keep,
-        n.cast("long").alias("_n"),
-        F.length(F.array_join("_words", "")).cast("long").alias("_chars"),
-        F.size("_lines").cast("long").alias("_n_lines"),
-        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("_dup_lines"),
-        windows.alias("_windows"),
+        n.cast("long").alias(f"{own}n"),
+        F.length(F.array_join(f"{own}words", "")).cast("long").alias(f"{own}chars"),
+        F.size(f"{own}lines").cast("long").alias(f"{own}n_lines"),
+        (F.size(f"{own}lines") - F.size(F.array_distinct(f"{own}lines"))).cast("long").alias(f"{own}dup_lines"),
+        windows.alias(f"{own}windows"),
     )
     # Only texts with a repeated window go on: their windows are sorted, and equal neighbours give the positions.
-    repeats = F.coalesce(F.size(F.array_distinct("_windows")) < F.size("_windows"), F.lit(False))
-    placed = F.array_sort(F.transform("_windows", lambda window, i: F.struct(window.alias("h"), i.alias("i"))))
-    out = out.select(*keep, "_n", "_chars", "_n_lines", "_dup_lines", F.when(repeats, placed).alias("_placed"))
-    same = lambda x, i: F.coalesce(F.get("_placed", i)["h"] == x["h"], F.lit(False))
-    twice = F.filter("_placed", lambda x, i: same(x, i - 1) | same(x, i + 1))
-    out = out.select(*keep, "_n", "_chars", "_n_lines", "_dup_lines", F.array_sort(F.transform(twice, lambda x: x["i"])).alias("_starts"))
-    covered = F.transform("_starts", lambda start, i: F.least(F.lit(WINDOW_WORDS), F.coalesce(F.get("_starts", i + 1) - start, F.lit(WINDOW_WORDS))))
+    repeats = F.coalesce(F.size(F.array_distinct(f"{own}windows")) < F.size(f"{own}windows"), F.lit(False))
+    placed = F.array_sort(F.transform(f"{own}windows", lambda window, i: F.struct(window.alias("h"), i.alias("i"))))
+    out = out.select(*keep, f"{own}n", f"{own}chars", f"{own}n_lines", f"{own}dup_lines", F.when(repeats, placed).alias(f"{own}placed"))
+    same = lambda x, i: F.coalesce(F.get(f"{own}placed", i)["h"] == x["h"], F.lit(False))
+    twice = F.filter(f"{own}placed", lambda x, i: same(x, i - 1) | same(x, i + 1))
+    out = out.select(*keep, f"{own}n", f"{own}chars", f"{own}n_lines", f"{own}dup_lines", F.array_sort(F.transform(twice, lambda x: x["i"])).alias(f"{own}starts"))
+    covered = F.transform(f"{own}starts", lambda start, i: F.least(F.lit(WINDOW_WORDS), F.coalesce(F.get(f"{own}starts", i + 1) - start, F.lit(WINDOW_WORDS))))
     n_repeat = F.coalesce(F.aggregate(covered, F.lit(0), lambda total, x: total + x), F.lit(0)).cast("long")
     count = lambda pattern: F.coalesce(F.regexp_count(F.col(text_col), F.lit(pattern)), F.lit(0)).cast("long")
     out = out.select(
         *keep,
-        *[F.col(name) for name in ("_n", "_chars", "_n_lines", "_dup_lines")],
-        n_repeat.alias("_repeat"),
-        count("[#*$%&|<>]").alias("_symbols"),
-        count("\\p{Lu}").alias("_upper"),
-        count("[0-9]").alias("_digits"),
-        count("[!?]").alias("_marks"),
+        *[F.col(name) for name in (f"{own}n", f"{own}chars", f"{own}n_lines", f"{own}dup_lines")],
+        n_repeat.alias(f"{own}repeat"),
+        count("[#*$%&|<>]").alias(f"{own}symbols"),
+        count("\\p{Lu}").alias(f"{own}upper"),
+        count("[0-9]").alias(f"{own}digits"),
+        count("[!?]").alias(f"{own}marks"),
     )
     share = lambda part, whole: F.coalesce(F.try_divide(F.col(part), F.col(whole)), F.lit(0.0)).cast("double")
     return out.select(
         *keep,
         F.struct(
-            F.col("_n").alias("n_words"),
-            F.col("_chars").alias("word_chars"),
-            F.col("_symbols").alias("n_symbols"),
-            F.col("_dup_lines").alias("n_dup_lines"),
-            F.col("_repeat").alias("n_repeat_words"),
-            ((F.col("_n") < MIN_WORDS) | (100 * F.col("_repeat") > MAX_REPEAT_PERCENT * F.col("_n"))).alias("base_failed"),
-            share("_symbols", "_chars").alias("symbol_share"),
-            share("_repeat", "_n").alias("repeat_share"),
-            share("_dup_lines", "_n_lines").alias("dup_line_share"),
-            share("_chars", "_n").alias("word_length"),
-            share("_n", "_n_lines").alias("line_words"),
-            share("_upper", "_chars").alias("upper_share"),
-            share("_digits", "_chars").alias("digit_share"),
-            share("_marks", "_n").alias("mark_share"),
+            F.col(f"{own}n").alias("n_words"),
+            F.col(f"{own}chars").alias("word_chars"),
+            F.col(f"{own}symbols").alias("n_symbols"),
+            F.col(f"{own}dup_lines").alias("n_dup_lines"),
+            F.col(f"{own}repeat").alias("n_repeat_words"),
+            ((F.col(f"{own}n") < MIN_WORDS) | (100 * F.col(f"{own}repeat") > MAX_REPEAT_PERCENT * F.col(f"{own}n"))).alias("base_failed"),
+            share(f"{own}symbols", f"{own}chars").alias("symbol_share"),
+            share(f"{own}repeat", f"{own}n").alias("repeat_share"),
+            share(f"{own}dup_lines", f"{own}n_lines").alias("dup_line_share"),
+            share(f"{own}chars", f"{own}n").alias("word_length"),
+            share(f"{own}n", f"{own}n_lines").alias("line_words"),
+            share(f"{own}upper", f"{own}chars").alias("upper_share"),
+            share(f"{own}digits", f"{own}chars").alias("digit_share"),
+            share(f"{own}marks", f"{own}n").alias("mark_share"),
         ).alias(stats),
     )
 
@@ -204,28 +206,32 @@ def learn_rules(labelled: DataFrame, features: tuple[str, ...] = FEATURES) -> li
     return rules
 
 
-def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[Rule]]:
-    """``docs`` with the columns ``stats``, ``rule`` (null if none holds) and ``kept``, and the rules.
+def judged(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str, str] = ("stats", "rule", "kept"), carry: list[str] | None = None
+) -> tuple[DataFrame, list[Rule]]:
+    """``docs`` with its statistics, the rule that rejects it (null if none holds) and whether it is kept, and the rules.
 
     Rules learn from the labelled rows of ``docs`` that pass the base check and are not held
-    out; an id that is labelled both ways teaches nothing. A null or empty text fails the base check. Rows keep
-    their other columns, but a column named stats, rule or kept is replaced.
+    out; an id that is labelled both ways teaches nothing. A null or empty text fails the base check. Repeated rows
+    stay. Rows keep the columns ``carry`` (all by default); one named as the added ones (``names``) is replaced.
     """
-    docs = docs.drop("stats", "rule", "kept")
-    rows = written(with_stats(docs, text_col), "stats")
+    stats, rule, kept = names
+    docs = docs.drop(*names)
+    carried = [name for name in (docs.columns if carry is None else carry) if name not in names]
+    rows = written(with_stats(docs, text_col, stats).select(*[F.col(f"`{name}`") for name in dict.fromkeys([*carried, id_col, stats])]), "stats")
     one = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
     one = one.where("low = high").select(F.col("doc_id").alias("labelled_id"), (1 - F.col("low")).alias("bad"))
-    usable = rows.where(~F.col("stats.base_failed") & learnable(id_col))
-    labelled = usable.join(one, usable[id_col] == one["labelled_id"]).select(
-        "bad", (F.pmod(F.xxhash64("labelled_id"), F.lit(3)) == 0).alias("part"), *[F.col(f"stats.{name}").cast("double").alias(name) for name in FEATURES]
+    usable = rows.where(~F.col(f"{stats}.base_failed") & learnable(id_col)).select(F.col(id_col).alias("id"), F.col(f"{stats}.*"))
+    labelled = usable.join(one, F.col("id") == F.col("labelled_id")).select(
+        "bad", (F.pmod(F.xxhash64("id"), F.lit(3)) == 0).alias("part"), *[F.col(name).cast("double").alias(name) for name in FEATURES]
     )
     rules = learn_rules(labelled)
-    rows = rows.withColumn("rule", first_rule(rules, "stats."))
-    return rows.withColumn("kept", ~F.col("stats.base_failed") & F.col("rule").isNull()), rules
+    rows = rows.withColumn(rule, first_rule(rules, f"{stats}."))
+    return rows.withColumn(kept, ~F.col(f"{stats}.base_failed") & F.col(rule).isNull()), rules
 
 
 def op3_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The digest of the query: base statistics, base check, verdict and the rule behind it."""
-    rows, _ = judged(docs.select("doc_id", "text").drop("stats"), labels)
+    rows, _ = judged(docs.select("doc_id", "text"), labels)
     base = [F.col(f"stats.{name}").alias(name) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")]
     return rows.select("doc_id", *base, "kept", "rule")

@@ -8,11 +8,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillwatch.llm.common import written
+from tillwatch.llm.common import free_prefix, written
 from tillwatch.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -46,15 +46,13 @@ def fingerprint(text: str | None, shingle_words: int = SHINGLE_WORDS, seed: int
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def with_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """``(doc_id, fp)``, one row per row of ``docs``."""
-
+def fingerprints_of(text_col: str = "text", shingle_words: int = SHINGLE_WORDS) -> Column:
     @F.pandas_udf("long")
     def fingerprints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([fingerprint(text, shingle_words) for text in batch], dtype="int64")
 
-    return docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col)).alias("fp"))
+    return fingerprints(F.col(text_col))
 
 
 def _signed(bits: int) -> int:
@@ -111,6 +109,13 @@ def close_links(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFram
     return pairs.union(met).distinct()
 
 
+def fingerprint_roots(prints: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
+    """``(fp, root)`` for every different fingerprint of ``prints``: ``root`` is the smallest fingerprint of its component."""
+    nodes = prints.select("fp").distinct()
+    roots = connected_components(close_links(nodes, max_distance))
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -126,16 +131,34 @@ def near_duplicates(
     ignored. Copies meet by their fingerprint before any comparison, so a large group of
     them is one node.
     """
-    rows = written(with_fingerprints(docs, id_col, text_col, shingle_words), "prints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    roots = connected_components(close_links(nodes.select("fp"), max_distance))
-    placed = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    placed = written(placed, "placed")
+    rows = written(docs.select(F.col(id_col).alias("doc_id"), fingerprints_of(text_col, shingle_words).alias("fp")), "prints")
+    placed = written(fingerprint_roots(rows, max_distance).join(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fp"), "placed")
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     components = placed.join(least, "root").select("fp", "component_id")
     return rows.join(components, "fp").select("doc_id", "fp", "component_id")
 
 
+def first_of_each_group(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    max_distance: int = MAX_DISTANCE,
+) -> DataFrame:
+    """The rows of ``docs``, with their columns, that come first in their group: smallest id, then first in the table.
+
+    Exactly one row of a group stays, also of repeated rows; a row without an id stays only if its whole group has none.
+    """
+    prefix = free_prefix(docs)
+    row, fp = f"{prefix}row", f"{prefix}fp"
+    rows = written(docs.withColumns({row: F.monotonically_increasing_id(), fp: fingerprints_of(text_col, shingle_words)}), "rows")
+    prints = rows.select(F.col(id_col).alias("doc_id"), F.col(row).alias("row"), F.col(fp).alias("fp"))
+    order = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")
+    placed = fingerprint_roots(prints, max_distance).join(prints.groupBy("fp").agg(order), "fp")
+    first = placed.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    return rows.join(first, row, "left_semi").select(*[F.col(f"`{name}`") for name in docs.columns])
+
+
 def op9_simhash_near_dedup(docs: DataFrame) -> DataFrame:
     """The digest of the query: fingerprint as 16 hex digits, and whether the row is the first of its group."""
     found = near_duplicates(docs)
