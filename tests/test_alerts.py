@@ -50,3 +50,12 @@ def test_one_total_can_fire_several_rules(spark):
 def test_other_limits(spark):
     assert alerts(spark, ("Payment", True, 10, 10000.0), rules=with_limits(11, None)) == []
     assert len(alerts(spark, ("Refund", False, 2, 7.0), rules=with_limits(11, 7.0))) == 1
+
+
+def test_a_total_without_amounts_reads_null(spark):
+    rows = [(None, None, "Payment", True, 12, None), (None, None, "Refund", False, 12, None)]
+    found = find_alerts(spark.createDataFrame(rows, TOTALS_SCHEMA)).orderBy("rule").collect()
+    assert [row.alert_message for row in found] == [
+        "ALERT: High Payment error rate! 12 errors with $null.",
+        "ALERT: High Refund requests rate! 12 requests with $null$.",
+    ]

@@ -110,3 +110,15 @@ def test_input_columns_stay(spark):
     records = spark.createDataFrame([(framed(GOOD_TEXT), "payment")], "value binary, topic string")
     assert decode_records(records).columns == ["value", "topic", "schema_id", "event", "defect"]
     assert decode_records(records).select(F.col("event.level")).first()[0] == "INFO"
+
+
+def test_limits_are_named(spark):
+    """A payload that nests too deep is rejected for that, and does not end the query."""
+    deep = b'{"extra":' + b"[" * 1100 + b"]" * 1100 + b',"timestamp":"t","level":"l","message":"m"}'
+    from records import records as wire_records
+
+    rows = decode_records(wire_records(spark, b"\x00\x00\x00\x00\x01" + deep, b"\x00\x00\x00\x00\x01{bad")).orderBy("offset").collect()
+    assert [row.defect.error for row in rows] == [
+        "payload is over the limit of 1000 levels, or not one JSON object",
+        "payload is not one JSON object",
+    ]

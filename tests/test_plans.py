@@ -11,7 +11,7 @@ from tillwatch.plans import registry
 from tillwatch.plans.batch import order_totals
 from tillwatch.operators.alerts import find_alerts
 from tillwatch.sources.files import append_records, read_records
-from tillwatch.sources.tables import read_orders, spread_out
+from tillwatch.sources.tables import TASKS_SETTING, read_orders, spread_out
 
 
 @pytest.fixture(scope="module")
@@ -68,8 +68,12 @@ def test_given_table_is_pruned(spark, sf_dir, capsys):
     assert "ReadSchema: struct<o_orderkey:bigint>" in plan
 
 
-def test_spread_out_leaves_wide_input_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    wide, narrow = spark.range(0, 100, 1, cores), spark.range(0, 100, 1, 1)
-    assert spread_out(wide, "id") is wide
-    assert spread_out(narrow, "id").rdd.getNumPartitions() == cores
+def test_only_the_caller_spreads_orders(spark, sf_dir):
+    rows = spark.range(0, 100, 1, 1)
+    assert spread_out(rows, "id", None) is rows
+    assert spread_out(rows, "id", 5).rdd.getNumPartitions() == 5
+    spark.conf.set(TASKS_SETTING, "3")
+    try:
+        assert read_orders(spark, sf_dir).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(TASKS_SETTING)

@@ -4,6 +4,9 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tillwatch.contract import ENRICHED_SCHEMA, TOTALS_SCHEMA
@@ -15,6 +18,8 @@ ROWS = [
     (None, "ERROR", "Payment", True, "o", None, "u", "i", None, ""),
     (TIME, "ERROR", 'qu"ote', True, "com,ma", 1.0, "back\\", "\\", None, ' blank at the ends " '),
     (TIME, "ERROR", "é", True, '"', float("inf"), '""', "'", "", "null"),
+    (TIME, "A\nB", "\r", True, "\r\n", 1.0, '"\n"', "\n", "\t", "\x00"),
+    (TIME, "\x01", "\x00\x01a", True, "\x01b\x00", 1.0, "\x0b\x0c", "\x7f", "\u2028", " \n "),
 ]
 
 
@@ -28,8 +33,8 @@ def write(folders, batch, batch_id, files=None):
 
 def test_summaries(spark):
     batch = enriched(spark)
-    assert summarize(batch) == BatchSummary(4, 0, "2025-06-07", "08")
-    assert summarize(batch, F.col("is_failed")) == BatchSummary(4, 3, "2025-06-07", "08")
+    assert summarize(batch) == BatchSummary(6, 0, "2025-06-07", "08")
+    assert summarize(batch, F.col("is_failed")) == BatchSummary(6, 5, "2025-06-07", "08")
     assert glance(batch) == BatchSummary(1, 0, "2025-06-07", "08")
     for empty in (summarize(enriched(spark, [])), glance(enriched(spark, []))):
         assert empty == BatchSummary(0, 0, None, None)
@@ -39,13 +44,13 @@ def test_summaries(spark):
 def test_rows_come_back_exactly(spark, tmp_path, format):
     folders = BatchFolders(str(tmp_path), format, hourly=True)
     folder = write(folders, enriched(spark), 3)
-    assert folder == f"{tmp_path}/proc_date=2025-06-07/proc_hour=08/batch_id=3"
+    assert folder == f"{tmp_path}/proc_date=2025-06-07/proc_hour=08/stream=none/batch_id=3"
     found = folders.read(spark, ENRICHED_SCHEMA)
-    assert found.columns == [*ENRICHED_SCHEMA.names, "proc_date", "proc_hour", "batch_id"]
+    assert found.columns == [*ENRICHED_SCHEMA.names, "proc_date", "proc_hour", "stream", "batch_id"]
     assert sorted(map(repr, found.select(*ENRICHED_SCHEMA.names).collect())) == sorted(
         map(repr, spark.createDataFrame(ROWS, ENRICHED_SCHEMA).collect())
     )
-    assert {tuple(row)[10:] for row in found.collect()} == {("2025-06-07", "08", 3)}
+    assert {tuple(row)[10:] for row in found.collect()} == {("2025-06-07", "08", "none", 3)}
 
 
 def test_csv_cells(spark, tmp_path):
@@ -62,8 +67,8 @@ def test_daily_folder_and_window_columns(spark, tmp_path):
     rows = [(TIME, TIME, "Payment", True, 2, 3.0)]
     folders = BatchFolders(str(tmp_path))
     at = F.lit(datetime(2025, 6, 7, 8, 0, tzinfo=timezone.utc))
-    assert write(folders, stamp(spark.createDataFrame(rows, TOTALS_SCHEMA), at), 1).endswith("/proc_date=2025-06-07/batch_id=1")
-    assert [tuple(row) for row in folders.read(spark, TOTALS_SCHEMA).collect()] == [(*rows[0], "2025-06-07", 1)]
+    assert write(folders, stamp(spark.createDataFrame(rows, TOTALS_SCHEMA), at), 1).endswith("/proc_date=2025-06-07/stream=none/batch_id=1")
+    assert [tuple(row) for row in folders.read(spark, TOTALS_SCHEMA).collect()] == [(*rows[0], "2025-06-07", "none", 1)]
 
 
 def test_replay_replaces_and_other_batches_stay(spark, tmp_path):
@@ -76,12 +81,15 @@ def test_replay_replaces_and_other_batches_stay(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     counts = folders.read(spark, ENRICHED_SCHEMA).groupBy("batch_id").count().collect()
-    assert {row.batch_id: row["count"] for row in counts} == {0: 4, 1: 4}
+    assert {row.batch_id: row["count"] for row in counts} == {0: 6, 1: 6}
 
 
 def test_reading_before_the_first_batch(spark, tmp_path):
-    found = BatchFolders(str(tmp_path / "none")).read(spark, ENRICHED_SCHEMA)
-    assert found.isEmpty() and found.columns[-2:] == ["proc_date", "batch_id"]
+    folders = BatchFolders(str(tmp_path / "none"))
+    found = folders.read(spark, ENRICHED_SCHEMA, missing_ok=True)
+    assert found.isEmpty() and found.columns[-3:] == ["proc_date", "stream", "batch_id"]
+    with pytest.raises(AnalysisException):
+        folders.read(spark, ENRICHED_SCHEMA)
 
 
 def test_a_filter_on_the_hour_prunes_folders(spark, tmp_path, capsys):
@@ -89,7 +97,18 @@ def test_a_filter_on_the_hour_prunes_folders(spark, tmp_path, capsys):
     for hour in (7, 8):
         write(folders, enriched(spark, at=datetime(2025, 6, 7, hour, tzinfo=timezone.utc)), hour)
     found = folders.read(spark, ENRICHED_SCHEMA).where("proc_date = '2025-06-07' and proc_hour = '08'")
-    assert found.count() == 4
+    assert found.count() == 6
     found.explain("formatted")
     plan = capsys.readouterr().out
     assert "PartitionFilters: [isnotnull(proc_date" in plan and "proc_hour" in plan
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.one_of(st.none(), st.text(st.characters(codec="utf-8"), max_size=8)), min_size=1, max_size=30))
+def test_any_text_comes_back(spark, tmp_path_factory, texts):
+    rows = [(TIME, text, "Payment", False, str(k), 1.0, text, None, "p", text) for k, text in enumerate(texts)]
+    folders = BatchFolders(str(tmp_path_factory.mktemp("texts")), hourly=True)
+    write(folders, enriched(spark, rows), 0)
+    found = folders.read(spark, ENRICHED_SCHEMA).select("order_id", "level", "user_id", "fail_reason").collect()
+    assert len(found) == len(texts)
+    assert {(row.order_id, row.level, row.fail_reason) for row in found} == {(str(k), text, text) for k, text in enumerate(texts)}

@@ -53,6 +53,8 @@ TOPIC = "payment"
 WATERMARK_DELAY = "5 seconds"
 WINDOW_LENGTH = "1 minute"
 TRIGGER_INTERVAL = "1 minute"
+# Fixed value: partitions of the topic.
+TOPIC_PARTITIONS = 3
 ALERT_MIN_COUNT = 10
 ALERT_EXACT_AMOUNT = 10000.0
 
@@ -63,8 +65,6 @@ REFUND_ALERT_TEXT = "ALERT: High Refund requests rate! %d requests with $%.2f$."
 # Names, order and types of all fields below.
 EVENT_FIELDS = ("timestamp", "level", "message")
 
-LOG_EVENT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in EVENT_FIELDS])
-
 KAFKA_SCHEMA = T.StructType(
     [
         T.StructField("key", T.BinaryType()),

@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 FRAME_BYTES = 5
 _REST = 2**31 - 1
 
+# What the parser and the variant type take at most; a valid payload beyond is
+# rejected under the name of the limit.
+MAX_LEVELS = 1000
+MAX_BYTES = 128 * 1024 * 1024
+
 # The parser's defaults would also take 'single quoted' text, and refuse long
 # texts and numbers.
 _STRICT_JSON = {"allowSingleQuotes": "false", "maxStringLen": str(_REST), "maxNumLen": str(_REST)}
@@ -57,6 +62,15 @@ def closes_early(text: Column, fields: T.StructType) -> Column:
     return F.contains(text, F.lit("]")) & boxed["item"].isNull()
 
 
+def may_be_too_deep(text: Column) -> Column:
+    """True if ``text`` opens more brackets than the parser follows; asked only of a text that it refused."""
+    return F.regexp_count(text, F.lit(r"[\[{]")) > MAX_LEVELS
+
+
+def is_too_large(value: Column) -> Column:
+    return F.octet_length(value) > MAX_BYTES
+
+
 def is_json_string(variant: Column) -> Column:
     """True only for a JSON string: not for a missing field, null or number."""
     return F.schema_of_variant(variant).eqNullSafe("STRING")

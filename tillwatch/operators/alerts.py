@@ -34,7 +34,10 @@ class AlertRule:
         return reached | (F.col("total_amount") == self.exact_amount)
 
     def message(self) -> Column:
-        return F.format_string(self.text, F.col("event_count"), F.col("total_amount"))
+        """The text; a total without any amount reads ``null``."""
+        count, total = F.col("event_count"), F.col("total_amount")
+        without = F.format_string(self.text.replace("%.2f", "%s"), count, F.lit("null"))
+        return F.when(total.isNull(), without).otherwise(F.format_string(self.text, count, total))
 
 
 PAYMENT_FAILURES = AlertRule("payment_failures", "Payment", True, PAYMENT_ALERT_TEXT)

@@ -27,6 +27,19 @@ def flat_totals(totals: DataFrame) -> DataFrame:
     return totals.select("window.start", "window.end", *[name for name in totals.columns if name != "window"])
 
 
+def dropped_events(events: DataFrame, totals: DataFrame, length: str = WINDOW_LENGTH) -> DataFrame:
+    """Windows whose totals miss events that came too late, with how many.
+
+    ``events`` are the enriched events, which keep late ones, and ``totals``
+    the latest totals of the same records. The stream's own figure counts rows of
+    partial aggregation, not events.
+    """
+    seen = flat_totals(events.groupBy(F.window("event_time", length)).agg(F.count("*").alias("seen")))
+    counted = totals.groupBy("start", "end").agg(F.sum("event_count").alias("counted"))
+    missing = F.col("seen") - F.coalesce("counted", F.lit(0))
+    return seen.join(counted, ["start", "end"], "left").select("start", "end", missing.alias("dropped")).where("dropped > 0")
+
+
 def latest_totals(change_log: DataFrame) -> DataFrame:
     """Final totals per group from a log of running totals with their ``batch_id``."""
     return change_log.groupBy("start", "end", "type", "is_failed").agg(

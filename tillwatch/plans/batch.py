@@ -10,13 +10,28 @@ from pyspark.sql.types import StructType
 
 from tillwatch.contract import ENRICHED_SCHEMA, PARSED_SCHEMA, TOTALS_SCHEMA
 from tillwatch.functions.event_time import parse_event_time
-from tillwatch.operators.alerts import DEFAULT_RULES, PAYMENT_FAILURES, REFUND_VOLUME, AlertRule, find_alerts
+from tillwatch.operators.alerts import (
+    DEFAULT_RULES,
+    PAYMENT_FAILURES,
+    REFUND_VOLUME,
+    AlertRule,
+    find_alerts,
+    with_limits,
+)
 from tillwatch.operators.decode import decode_records
 from tillwatch.operators.enrich import accepted_events, classify_records, quarantined_records
 from tillwatch.operators.parse import parse_messages
 from tillwatch.operators.render import encode_log, order_records, payment_events, render_log
 from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, window_totals
-from tillwatch.plans.variants import faulty_records, sparse_events, time_texts, untidy_messages
+from tillwatch.plans.variants import (
+    control_characters,
+    extreme_times,
+    faulty_records,
+    future_times,
+    sparse_events,
+    time_texts,
+    untidy_messages,
+)
 from tillwatch.session import work_dir
 from tillwatch.sinks.batches import BatchFolders, glance, stamp
 from tillwatch.sources.tables import read_orders
@@ -128,11 +143,29 @@ def all_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir, *DEFAULT_RULES)
 
 
+def alerts_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Limits that no total reaches: the table of alerts is empty."""
+    return _alerts(spark, sf_dir, *with_limits(10**15, None))
+
+
+def extreme_times_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times that no window fits around are in no total and stop nothing."""
+    classified = classify_records(extreme_times(read_orders(spark, sf_dir)))
+    return presentable(flat_totals(window_totals(accepted_events(classified, TOTALS_INPUT))))
+
+
+def far_future_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a limit of two hours ahead, events centuries ahead are in no total, those one hour ahead are."""
+    classified = classify_records(future_times(read_orders(spark, sf_dir)), max_ahead="2 hours")
+    return presentable(flat_totals(window_totals(accepted_events(classified, TOTALS_INPUT))))
+
+
 def _written_twice(folders: BatchFolders, rows: DataFrame, schema: StructType) -> DataFrame:
     """What the sink holds after a batch and its replay."""
     batch = stamp(rows, F.lit(datetime.now(timezone.utc)))
+    summary = glance(batch)
     for _ in range(2):
-        folders.write(batch, batch_id=0, summary=glance(batch))
+        folders.write(batch, batch_id=0, summary=summary)
     return presentable(folders.read(rows.sparkSession, schema).select(*schema.names))
 
 
@@ -142,5 +175,16 @@ def hourly_partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_agg_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    totals = order_totals(read_orders(spark, sf_dir))
-    return _written_twice(BatchFolders(work_dir(spark, "daily")), totals, TOTALS_SCHEMA)
+    # small rows that took all the decoding: kept between the two writes
+    totals = order_totals(read_orders(spark, sf_dir)).persist()
+    try:
+        return _written_twice(BatchFolders(work_dir(spark, "daily")), totals, TOTALS_SCHEMA)
+    finally:
+        totals.unpersist()
+
+
+def control_character_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose level holds line breaks, quotes, NUL and the like, through the CSV sink."""
+    events = accepted_events(classify_records(control_characters(read_orders(spark, sf_dir))))
+    found = _written_twice(BatchFolders(work_dir(spark, "control"), hourly=True), events, ENRICHED_SCHEMA)
+    return found.withColumn("level", F.hex(F.encode("level", "UTF-8")))

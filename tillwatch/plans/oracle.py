@@ -7,6 +7,7 @@ orders; it neither encodes nor parses, so it checks those steps.
 from __future__ import annotations
 
 from tillwatch.contract import EVENT_KINDS, FAILURE_REASONS, PAYMENT_ALERT_TEXT, REFUND_ALERT_TEXT
+from tillwatch.plans.variants import CONTROL_TEXTS
 
 _reasons = ", ".join(f"'{reason}'" for reason in FAILURE_REASONS)
 
@@ -92,6 +93,29 @@ _MINUTE_TOTALS = f"WITH {TOTALS}\nSELECT * FROM totals"
 _ALL_ALERTS = _alerts(_PAYMENT_RULE, _REFUND_RULE)
 
 
+_ARRIVALS = f"""{LOG},
+arrived AS (SELECT *, CAST(floor(k * 3 / (SELECT max(k) + 1 FROM log)) AS INTEGER) AS arrival FROM log),
+added AS (
+  SELECT date_trunc('minute', event_time) AS start, type, is_failed, arrival, count(*) AS n, sum(amount) AS amount
+  FROM arrived GROUP BY ALL
+),
+totals AS (
+  SELECT start, start + INTERVAL 1 MINUTE AS "end", type, is_failed,
+         CAST(sum(n) OVER w AS BIGINT) AS event_count, round(sum(amount) OVER w, 2) AS total_amount, arrival
+  FROM added WINDOW w AS (PARTITION BY start, type, is_failed ORDER BY arrival)
+)"""
+
+_LATE = """arrivals AS (
+  SELECT * FROM log
+  UNION ALL
+  SELECT * FROM log
+  WHERE date_trunc('minute', event_time) + INTERVAL 1 MINUTE > (SELECT max(event_time) FROM log) - INTERVAL 5 SECOND
+)"""
+
+# Levels of the control character records, as hex of their UTF-8 bytes.
+_CONTROL_HEX = ", ".join(f"'{text.encode().hex().upper()}'" for text in CONTROL_TEXTS)
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "event_class_counts": f"WITH {LOG} SELECT action, level, count(*) AS event_count FROM log GROUP BY ALL",
@@ -150,14 +174,35 @@ SELECT {_TOTAL_COLUMNS} FROM sparse WHERE event_time IS NOT NULL GROUP BY ALL"""
 SELECT k AS order_key, 'payment' AS topic, 0 AS partition, stage, error FROM faulty WHERE stage IS NOT NULL""",
         "stream_minute_totals": _MINUTE_TOTALS,
         "stream_alerts": _ALL_ALERTS,
-        "stream_late_drop": f"""WITH {LOG},
-arrivals AS (
-  SELECT * FROM log
-  UNION ALL
-  SELECT * FROM log
-  WHERE date_trunc('minute', event_time) + INTERVAL 1 MINUTE > (SELECT max(event_time) FROM log) - INTERVAL 5 SECOND
-)
+        "stream_late_drop": f"""WITH {LOG}, {_LATE}
 SELECT {_TOTAL_COLUMNS} FROM arrivals GROUP BY ALL""",
+        "alerts_none": f"SELECT * FROM ({_ALL_ALERTS}) WHERE event_count >= 1000000000000000",
+        "extreme_times_totals": f"""WITH {LOG},
+timed AS (SELECT type, is_failed, amount,
+                 CASE WHEN k % 17 = 3 THEN TIMESTAMP '9999-06-30 12:00:30' ELSE event_time END AS event_time
+          FROM log WHERE k % 17 NOT IN (1, 2))
+SELECT {_TOTAL_COLUMNS} FROM timed GROUP BY ALL""",
+        "far_future_totals": f"""WITH {LOG},
+timed AS (SELECT type, is_failed, amount,
+                 CASE WHEN k % 17 = 2 THEN date_trunc('second', event_time) + INTERVAL 1 HOUR ELSE event_time END AS event_time
+          FROM log WHERE k % 17 <> 1)
+SELECT {_TOTAL_COLUMNS} FROM timed GROUP BY ALL""",
+        "control_character_roundtrip": f"""WITH {LOG}
+SELECT event_time, [{_CONTROL_HEX}][k % {len(CONTROL_TEXTS)} + 1] AS level, type, is_failed, order_id, amount, user_id,
+       ip AS ip_address, payment_id, fail_reason FROM log""",
+        "stream_running_totals": f"WITH {_ARRIVALS}\nSELECT * FROM totals",
+        "stream_repeated_alerts": _alerts(_PAYMENT_RULE, _REFUND_RULE).replace(f"WITH {TOTALS}", f"WITH {_ARRIVALS}"),
+        "stream_both_queries": f"""WITH {LOG}
+SELECT type, is_failed, count(*) AS enriched_events, count(*) AS counted_events, round(sum(amount), 2) AS total_amount
+FROM log GROUP BY ALL""",
+        "stream_empty_batches": f"WITH {LOG}\nSELECT 2::BIGINT AS batches, 2 * count(*) AS events FROM log",
+        "stream_merged_files": f"WITH {LOG}\nSELECT 2::BIGINT AS files, count(*) AS events FROM log",
+        "stream_processing_time": _ENRICHED,
+        "stream_dropped_events": f"""WITH {LOG}, {_LATE},
+counted AS (SELECT date_trunc('minute', event_time) AS start, count(*) AS n FROM arrivals GROUP BY ALL),
+seen AS (SELECT date_trunc('minute', event_time) AS start, 2 * count(*) AS n FROM log GROUP BY ALL)
+SELECT start, start + INTERVAL 1 MINUTE AS "end", seen.n - counted.n AS dropped
+FROM seen JOIN counted USING (start) WHERE seen.n > counted.n""",
         "stream_late_enriched": f"{_ENRICHED}\nUNION ALL\nSELECT {ENRICHED_FIELDS} FROM log",
     }
 

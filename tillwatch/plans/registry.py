@@ -36,11 +36,25 @@ _QUERIES: tuple[Query, ...] = (
     stream.stream_alerts,
     stream.stream_late_drop,
     stream.stream_late_enriched,
+    batch.alerts_none,
+    batch.extreme_times_totals,
+    batch.far_future_totals,
+    batch.control_character_roundtrip,
+    stream.stream_running_totals,
+    stream.stream_repeated_alerts,
+    stream.stream_both_queries,
+    stream.stream_empty_batches,
+    stream.stream_merged_files,
+    stream.stream_processing_time,
+    stream.stream_dropped_events,
 )
 
 
 def _in_utc(query: Query) -> Query:
-    """Run a query in a UTC session, as its event times and SQL counterpart need."""
+    """Run a query in a UTC session, as its event times and SQL counterpart need.
+
+    The session stays in UTC: its result is computed after the query returns.
+    """
 
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,18 +6,21 @@ then hold.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillwatch.contract import ALERT_SCHEMA, ENRICHED_SCHEMA, QUARANTINE_SCHEMA, TOTALS_SCHEMA
 from tillwatch.operators.render import order_records
-from tillwatch.operators.totals import latest_totals
+from tillwatch.operators.totals import dropped_events, latest_totals
 from tillwatch.plans.batch import presentable
 from tillwatch.plans.variants import faulty_records
 from tillwatch.session import work_dir
 from tillwatch.sources.files import append_records, stream_records
 from tillwatch.sources.tables import read_orders, stream_orders
-from tillwatch.streaming.jobs import StreamConfig, start_enriched, start_totals
+from tillwatch.streaming.jobs import StreamConfig, start_all, start_enriched, start_totals
 
 
 def one_pass_config(spark: SparkSession, label: str) -> StreamConfig:
@@ -47,7 +50,7 @@ def stream_minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = one_pass_config(spark, "alerts")
     start_totals(order_records(stream_orders(spark, sf_dir)), config).awaitTermination()
-    return presentable(config.alerts.read(spark, ALERT_SCHEMA).select(*ALERT_SCHEMA.names))
+    return presentable(config.alerts.read(spark, ALERT_SCHEMA, missing_ok=True).select(*ALERT_SCHEMA.names))
 
 
 def _arrive_twice(spark: SparkSession, sf_dir: str, start, config: StreamConfig) -> None:
@@ -70,3 +73,95 @@ def stream_late_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = one_pass_config(spark, "late-enriched")
     _arrive_twice(spark, sf_dir, start_enriched, config)
     return presentable(config.enriched.read(spark, ENRICHED_SCHEMA).select(*ENRICHED_SCHEMA.names))
+
+
+# Parts in which all orders arrive, in the order of their keys and so of their times.
+ARRIVALS = 3
+
+
+def _arrive_in_parts(spark: SparkSession, sf_dir: str, config: StreamConfig) -> None:
+    """Totals of all orders, a third after the other; the stream stops between them and resumes."""
+    topic = f"{config.output_root}/topic"
+    orders = read_orders(spark, sf_dir)
+    (above,) = orders.agg(F.coalesce(F.max("o_orderkey"), F.lit(0)) + 1).first()
+    part = F.floor(F.col("o_orderkey") * ARRIVALS / F.lit(above))
+    for arrival in range(ARRIVALS):
+        append_records(order_records(orders.where(part == arrival)), topic)
+        start_totals(stream_records(spark, topic), config).awaitTermination()
+
+
+def _arrival_of(rows: DataFrame) -> DataFrame:
+    """``arrival`` in place of the batch id: batches that only move the watermark have ids as well."""
+    ids = rows.select("batch_id").distinct()
+    # one row per micro-batch that wrote anything
+    numbered = ids.select("batch_id", (F.row_number().over(Window.orderBy("batch_id")) - 1).alias("arrival"))
+    return rows.join(numbered, "batch_id").drop("batch_id", "proc_date", "stream")
+
+
+def stream_running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change log of totals: a group is written again, with its running total, by each batch that adds to it."""
+    config = one_pass_config(spark, "running")
+    _arrive_in_parts(spark, sf_dir, config)
+    return presentable(_arrival_of(config.totals.read(spark, TOTALS_SCHEMA)))
+
+
+def stream_repeated_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An open window alerts again with each batch that adds to it."""
+    config = one_pass_config(spark, "repeated")
+    _arrive_in_parts(spark, sf_dir, config)
+    changes = _arrival_of(config.totals.read(spark, TOTALS_SCHEMA)).select("start", "end", "type", "is_failed", "event_count", "arrival")
+    alerts = config.alerts.read(spark, ALERT_SCHEMA, missing_ok=True)
+    # the count of a group grows with each of its batches, so it tells which one alerted
+    return presentable(alerts.select(*ALERT_SCHEMA.names).join(changes, ["start", "end", "type", "is_failed", "event_count"]))
+
+
+def stream_both_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both queries over one source: events of the one and totals of the other, by type and outcome."""
+    config = one_pass_config(spark, "both")
+    for query in start_all(order_records(stream_orders(spark, sf_dir)), config):
+        query.awaitTermination()
+    keys = ["type", "is_failed"]
+    events = config.enriched.read(spark, ENRICHED_SCHEMA).groupBy(*keys).agg(F.count("*").alias("enriched_events"))
+    totals = latest_totals(config.totals.read(spark, TOTALS_SCHEMA))
+    counted = totals.groupBy(*keys).agg(F.sum("event_count").alias("counted_events"), F.sum("total_amount").alias("total_amount"))
+    return presentable(events.join(counted, keys, "full"))
+
+
+def stream_empty_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches without records between batches with all of them write nothing: batches that wrote, and their events."""
+    config = one_pass_config(spark, "empty")
+    topic = f"{config.output_root}/topic"
+    records = order_records(read_orders(spark, sf_dir))
+    for part in (records.limit(0), records, records.limit(0), records, records.limit(0)):
+        append_records(part, topic)
+        start_enriched(stream_records(spark, topic), config).awaitTermination()
+    written = config.enriched.read(spark, ENRICHED_SCHEMA)
+    return written.agg(F.count_distinct("batch_id").alias("batches"), F.count("*").alias("events"))
+
+
+def stream_merged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tasks decode, two files are written: files, and events in them."""
+    config = replace(one_pass_config(spark, "merged"), enriched_files=2)
+    start_enriched(order_records(stream_orders(spark, sf_dir)), config).awaitTermination()
+    written = config.enriched.read(spark, ENRICHED_SCHEMA)
+    return written.select(F.input_file_name().alias("file")).agg(F.count_distinct("file").alias("files"), F.count("*").alias("events"))
+
+
+def stream_processing_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The enriched stream under its ordinary trigger, stopped once all is processed."""
+    config = replace(one_pass_config(spark, "interval"), trigger={"processingTime": "1 second"})
+    query = start_enriched(order_records(stream_orders(spark, sf_dir)), config)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return presentable(config.enriched.read(spark, ENRICHED_SCHEMA).select(*ENRICHED_SCHEMA.names))
+
+
+def stream_dropped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many events came too late for the totals, by window."""
+    config = one_pass_config(spark, "dropped")
+    _arrive_twice(spark, sf_dir, start_totals, config)
+    _arrive_twice(spark, sf_dir, start_enriched, replace(config, output_root=f"{config.output_root}/kept"))
+    events = replace(config, output_root=f"{config.output_root}/kept").enriched.read(spark, ENRICHED_SCHEMA)
+    return presentable(dropped_events(events, latest_totals(config.totals.read(spark, TOTALS_SCHEMA))))

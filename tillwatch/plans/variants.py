@@ -58,6 +58,52 @@ def faulty_records(orders: DataFrame, schema_id: int = 1) -> DataFrame:
     ).select(*KAFKA_SCHEMA.names)
 
 
+def _renewed(log: DataFrame, schema_id: int = 1, **changed: Column) -> DataFrame:
+    """Records of a log with some texts replaced, written by ``to_json`` so that any text is escaped."""
+    texts = {name: F.col(name) for name in ("timestamp", "level", "message")} | changed
+    payload = F.to_json(F.struct(*[text.alias(name) for name, text in texts.items()]))
+    return log.select(
+        F.col("action").cast("binary").alias("key"),
+        frame(payload, schema_id).alias("value"),
+        F.lit("payment").alias("topic"),
+        F.lit(0).alias("partition"),
+        F.col("order_key").alias("offset"),
+        F.col("event_time").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    ).select(*KAFKA_SCHEMA.names)
+
+
+# Both ends of what a timestamp can hold, and a far but ordinary time.
+EXTREME_TIMES = ("+294247-01-10T04:00:54.775807Z", "-290308-12-21T19:59:05.224192Z", "9999-06-30T12:00:30Z")
+
+
+def extreme_times(orders: DataFrame) -> DataFrame:
+    """Records of all orders, some of them at an end of the time range or in the year 9999."""
+    log = render_log(payment_events(orders))
+    time = F
+    for version, text in enumerate(EXTREME_TIMES, 1):
+        time = time.when(F.pmod("order_key", F.lit(VARIANTS)) == version, text)
+    return _renewed(log, timestamp=time.otherwise(F.col("timestamp")))
+
+
+def future_times(orders: DataFrame) -> DataFrame:
+    """Records of all orders, some of them with a time an hour and some with a time centuries after their record's."""
+    log = render_log(payment_events(orders))
+    version = F.pmod("order_key", F.lit(VARIANTS))
+    later = F.concat(F.date_format(F.col("event_time") + F.expr("interval 1 hour"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    return _renewed(log, timestamp=F.when(version == 1, "9999-01-01T00:00:00Z").when(version == 2, later).otherwise(F.col("timestamp")))
+
+
+CONTROL_TEXTS = ("A\nB", "\r", "\r\n", '"\n"', "\t", "\x00", "\x01", "\x00\x01a\x01b", "", ' " ', "\\", ",")
+
+
+def control_characters(orders: DataFrame) -> DataFrame:
+    """Records of all orders with line breaks, quotes, tabs, NUL and the like as their level."""
+    log = render_log(payment_events(orders))
+    level = F.get(F.array(*map(F.lit, CONTROL_TEXTS)), F.pmod("order_key", F.lit(len(CONTROL_TEXTS))).cast("int"))
+    return _renewed(log, level=level)
+
+
 def event_json(fields: dict[str, Column | str | None]) -> Column:
     """JSON text of an event: columns as strings, ``str`` as raw JSON, None left out."""
     members = []

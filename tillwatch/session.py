@@ -13,6 +13,8 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
 }
 
+UTC_ZONES = ("UTC", "Etc/UTC", "Z", "GMT", "+00:00")
+
 # Streaming state lives in RocksDB, off the JVM heap, and each commit uploads
 # only the changes since the last snapshot.
 STREAM_CONF = {

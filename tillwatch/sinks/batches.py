@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STAMP = "_processed_at"
+# Folder of a batch that no stream wrote.
+NO_STREAM = "none"
 
 _TIME = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -25,8 +28,24 @@ _CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 # The reader takes a cell equal to its null mark for null. With a mark that no
-# cell holds, "" stays an empty text and only a cell without quotes is null.
-_CSV_READ_OPTIONS = _CSV_OPTIONS | {"emptyValue": "", "nullValue": "\x00"}
+# cell holds, since NUL is escaped, "" stays an empty text and only a cell without
+# quotes is null. Cells may hold line breaks; a broken row fails the read.
+_CSV_READ_OPTIONS = _CSV_OPTIONS | {"emptyValue": "", "nullValue": "\x00", "multiLine": "true", "mode": "FAILFAST"}
+# A file whose cells may hold line breaks is read by one task, so files are cut.
+_CSV_ROWS_PER_FILE = 1_000_000
+
+
+def _escaped(text: Column) -> Column:
+    """Text without NUL: it becomes \\x01a, and \\x01 becomes \\x01b."""
+    return F.replace(F.replace(text, F.lit("\x01"), F.lit("\x01b")), F.lit("\x00"), F.lit("\x01a"))
+
+
+def _restored(text: Column) -> Column:
+    return F.replace(F.replace(text, F.lit("\x01a"), F.lit("\x00")), F.lit("\x01b"), F.lit("\x01"))
+
+
+def _texts(rows: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    return rows.withColumns({name: change(F.col(name)) for name, kind in rows.dtypes if kind == "string"})
 
 
 def stamp(df: DataFrame, time: Column | None = None) -> DataFrame:
@@ -69,50 +88,64 @@ def glance(batch: DataFrame) -> BatchSummary:
     return BatchSummary(1, 0, *first[0]) if first else BatchSummary(0, 0, None, None)
 
 
+def stream_of(batch: DataFrame) -> str:
+    """Id of the streaming query whose micro-batch this is; it stays the same as long as the checkpoint does."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or NO_STREAM
+
+
 @dataclass(frozen=True)
 class BatchFolders:
-    """Folders ``<root>/proc_date=…[/proc_hour=…]/batch_id=…`` of one stream.
+    """Folders ``<root>/proc_date=…[/proc_hour=…]/stream=…/batch_id=…``.
 
     The stamp of a batch survives a replay, hence so does its folder, and the
     write overwrites just that folder: no duplicates, and readers prune by
-    date and hour. Batch ids start again with a new checkpoint, so a new
-    checkpoint needs a new ``root``.
+    date and hour. ``stream`` is the id that a streaming query keeps in its
+    checkpoint: batch ids start again with a new checkpoint, and what the old
+    one wrote stays beside what the new one writes.
     """
 
     root: str
     format: str = "csv"
     hourly: bool = False
 
-    def folder(self, summary: BatchSummary, batch_id: int) -> str:
+    def folder(self, summary: BatchSummary, batch_id: int, stream: str = NO_STREAM) -> str:
         hour = f"/proc_hour={summary.hour}" if self.hourly else ""
-        return f"{self.root.rstrip('/')}/proc_date={summary.date}{hour}/batch_id={batch_id}"
+        return f"{self.root.rstrip('/')}/proc_date={summary.date}{hour}/stream={stream}/batch_id={batch_id}"
 
     def write(self, rows: DataFrame, batch_id: int, summary: BatchSummary, files: int | None = None) -> str:
         """Write rows of a summarized batch from all tasks, or merged to at most ``files`` files."""
-        folder = self.folder(summary, batch_id)
+        folder = self.folder(summary, batch_id, stream_of(rows))
         rows = rows.drop(STAMP)
         if files is not None:
             rows = rows.coalesce(files)
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static").format(self.format)
+        options = {"partitionOverwriteMode": "static"}
         if self.format == "csv":
-            writer = writer.options(**_CSV_OPTIONS)
-        writer.save(folder)
+            rows = _texts(rows, _escaped)
+            options |= _CSV_OPTIONS | {"maxRecordsPerFile": str(_CSV_ROWS_PER_FILE)}
+        rows.write.mode("overwrite").options(**options).format(self.format).save(folder)
         return folder
 
-    def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        """All batches, with ``proc_date``, ``proc_hour`` and ``batch_id`` as columns."""
+    def read(self, spark: SparkSession, schema: T.StructType, missing_ok: bool = False) -> DataFrame:
+        """All batches, with ``proc_date``, ``proc_hour``, ``stream`` and ``batch_id`` as columns.
+
+        A root that is not there raises, since it may be a wrong path; with
+        ``missing_ok`` it reads as no rows, as before the first batch.
+        """
         folder_columns = [T.StructField("proc_date", T.StringType())]
         if self.hourly:
             folder_columns.append(T.StructField("proc_hour", T.StringType()))
-        folder_columns.append(T.StructField("batch_id", T.LongType()))
+        folder_columns += [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
         full = T.StructType([*schema, *folder_columns])
         reader = spark.read.schema(full).format(self.format)
         if self.format == "csv":
             reader = reader.options(**_CSV_READ_OPTIONS)
         try:
-            return reader.load(self.root)
+            found = reader.load(self.root)
         except AnalysisException as error:
-            # no batch has written anything yet
-            if error.getCondition() != "PATH_NOT_FOUND":
+            if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], full)
+        if self.format != "csv":
+            return found
+        kept = {name: _restored(F.col(name)) for name, kind in found.dtypes if kind == "string" and name in schema.names}
+        return found.withColumns(kept)

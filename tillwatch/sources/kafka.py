@@ -13,13 +13,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.readwriter import DataFrameWriter
 
-from tillwatch.contract import TOPIC
+from tillwatch.contract import TOPIC, TOPIC_PARTITIONS
+
+
+# Tasks that share a topic, and records of one batch: limits of rate, they leave nothing out.
+MIN_PARTITIONS = 64
+MAX_OFFSETS_PER_TRIGGER = 10_000_000
 
 
 @dataclass(frozen=True)
 class KafkaSource:
     """Subscription to one topic.
 
+    A stream whose next offsets the topic no longer holds fails, unless
+    ``fail_on_data_loss`` is off: then it goes on and the lost records are in no result.
+
     ``starting_offsets`` counts at the first start only; later the checkpoint
     decides. ``min_partitions`` splits large topic partitions over more tasks:
     records are keyed by action and most have the same one, so one partition
@@ -30,9 +38,9 @@ class KafkaSource:
     bootstrap_servers: str
     topic: str = TOPIC
     starting_offsets: str = "earliest"
-    fail_on_data_loss: bool = False
-    min_partitions: int | None = None
-    max_offsets_per_trigger: int | None = None
+    fail_on_data_loss: bool = True
+    min_partitions: int | None = MIN_PARTITIONS
+    max_offsets_per_trigger: int | None = MAX_OFFSETS_PER_TRIGGER
     extra: dict[str, str] = field(default_factory=dict)
 
     def options(self) -> dict[str, str]:
@@ -62,13 +70,13 @@ class KafkaSource:
 class KafkaTarget:
     """Topic to write records to.
 
-    With ``spread_over`` a record goes to a partition by its whole value
-    instead of its key, so that a frequent action fills all partitions evenly.
+    A record goes to one of ``spread_over`` partitions by its whole value
+    instead of its key, so that a frequent action fills all of them evenly; with None its key decides.
     """
 
     bootstrap_servers: str
     topic: str = TOPIC
-    spread_over: int | None = None
+    spread_over: int | None = TOPIC_PARTITIONS
     extra: dict[str, str] = field(default_factory=dict)
 
     def options(self) -> dict[str, str]:

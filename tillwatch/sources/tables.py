@@ -8,27 +8,27 @@ ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_totalprice")
 _ORDER_SCHEMA = "o_orderkey bigint, o_custkey bigint, o_totalprice double"
 
 
-def spread_out(df: DataFrame, key: str, scan: DataFrame | None = None) -> DataFrame:
-    """Use every core on input that arrives in fewer partitions than there are cores.
+# Session setting: into how many tasks a scan of the orders is dealt before the work per row gets costly.
+TASKS_SETTING = "tillwatch.orderTasks"
 
-    A large table is read in many partitions and passes unchanged; a small or
-    unsplittable file is shuffled once, before the work per row gets costly.
-    For a stream, ``scan`` is the batch read of the same files.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    partitions = (df if scan is None else scan).rdd.getNumPartitions()
-    return df.repartition(cores, key) if partitions < cores else df
 
+def chosen_tasks(spark: SparkSession) -> int | None:
+    """The caller's choice for this session; unset, a table is worked on in the partitions it is read in."""
+    tasks = spark.conf.get(TASKS_SETTING, None)
+    return int(tasks) if tasks else None
 
-def _scan_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDER_COLUMNS)
+
+def spread_out(df: DataFrame, key: str, tasks: int | None) -> DataFrame:
+    """Deal rows to ``tasks`` tasks by a shuffle, for input in few or unsplittable files."""
+    return df if tasks is None else df.repartition(tasks, key)
 
 
 def read_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_out(_scan_orders(spark, sf_dir), "o_orderkey")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(*ORDER_COLUMNS)
+    return spread_out(orders, "o_orderkey", chosen_tasks(spark))
 
 
 def stream_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a stream takes a single file only by a pattern; it also fits a folder
     orders = spark.readStream.schema(_ORDER_SCHEMA).parquet(f"{sf_dir}/orders[.]parquet")
-    return spread_out(orders, "o_orderkey", _scan_orders(spark, sf_dir))
+    return spread_out(orders, "o_orderkey", chosen_tasks(spark))

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
-from math import ceil
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,14 +19,13 @@ from tillwatch.operators.enrich import (
     classify_records,
     is_accepted,
     is_defective,
+    keep_rows,
     with_watermark,
 )
 from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, window_totals
+from tillwatch.session import UTC_ZONES
 from tillwatch.sinks.batches import BatchFolders, glance, stamp, summarize
 
-# Totals are small rows; a batch over a long backlog can still hold many.
-TOTALS_PER_FILE = 1_000_000
-
 
 @dataclass(frozen=True)
 class StreamConfig:
@@ -35,7 +33,9 @@ class StreamConfig:
 
     ``enriched_files`` merges the enriched events of a batch to that many
     files, by a shuffle, so that decoding keeps its tasks; without it each
-    task writes its own file.
+    task writes its own file. ``totals_files`` merges totals and alerts, which are
+    small rows; None leaves one file per state partition. ``max_ahead`` bounds how far an
+    event time may lie ahead of its record's, see ``classify_records``.
     """
 
     output_root: str
@@ -48,6 +48,8 @@ class StreamConfig:
     quarantine: bool = True
     format: str = "csv"
     enriched_files: int | None = None
+    totals_files: int | None = 1
+    max_ahead: str | None = None
 
     @property
     def enriched(self) -> BatchFolders:
@@ -67,14 +69,18 @@ class StreamConfig:
         return BatchFolders(f"{self.output_root}/alerts", self.format)
 
 
+def _classified(records: DataFrame, config: StreamConfig) -> DataFrame:
+    return classify_records(records, config.known_schema_ids, config.window_length, config.max_ahead)
+
+
 def enriched_stream(records: DataFrame, config: StreamConfig) -> DataFrame:
     """Enriched events; late ones and those without a time are kept."""
-    return accepted_events(classify_records(records, config.known_schema_ids))
+    return accepted_events(_classified(records, config))
 
 
 def totals_stream(records: DataFrame, config: StreamConfig) -> DataFrame:
     """Running window totals; events of a closed window are left out."""
-    events = accepted_events(classify_records(records, config.known_schema_ids), TOTALS_INPUT)
+    events = accepted_events(_classified(records, config), TOTALS_INPUT)
     return window_totals(with_watermark(events, config.watermark_delay), config.window_length)
 
 
@@ -93,17 +99,17 @@ def _write_enriched(config: StreamConfig) -> Callable[[DataFrame, int], None]:
 
 def _write_enriched_and_quarantine(config: StreamConfig) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
-        # two outputs of one decoding: read the source and parse it once
-        batch.persist()
-        try:
-            summary = summarize(batch, is_defective())
-            if summary.rows:
-                events = batch.where(is_accepted()).select(*ENRICHED_COLUMNS)
-                config.enriched.write(_merged(events, config), batch_id, summary)
-            if summary.defects:
-                config.quarantined.write(batch.where(is_defective()).select(*QUARANTINE_COLUMNS), batch_id, summary)
-        finally:
-            batch.unpersist()
+        # Defects are counted while the events are written, and only a batch with any is decoded again:
+        # the events of a backlog are never kept, neither in memory nor on local disks.
+        summary = glance(batch)
+        if not summary.rows:
+            return
+        seen = Observation()
+        counted = batch.observe(seen, F.count_if(is_defective()).alias("defects"))
+        events = keep_rows(counted, is_accepted(), ENRICHED_COLUMNS)
+        config.enriched.write(_merged(events, config), batch_id, summary)
+        if seen.get["defects"]:
+            config.quarantined.write(keep_rows(batch, is_defective(), QUARANTINE_COLUMNS), batch_id, summary)
 
     return write
 
@@ -115,20 +121,27 @@ def _write_totals_and_alerts(config: StreamConfig) -> Callable[[DataFrame, int],
         try:
             summary = summarize(batch)
             if summary.rows:
-                files = ceil(summary.rows / TOTALS_PER_FILE)
-                config.totals.write(batch, batch_id, summary, files)
+                config.totals.write(batch, batch_id, summary, config.totals_files)
                 alerts = find_alerts(batch, config.rules)
                 if not alerts.isEmpty():
-                    config.alerts.write(alerts, batch_id, summary, files)
+                    config.alerts.write(alerts, batch_id, summary, config.totals_files)
         finally:
             batch.unpersist()
 
     return write
 
 
+def _check_zone(records: DataFrame) -> None:
+    """Folder names, zone-less times and windows are those of a UTC session."""
+    zone = records.sparkSession.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_ZONES:
+        raise ValueError(f"session time zone is {zone}; set spark.sql.session.timeZone to UTC")
+
+
 def start_enriched(records: DataFrame, config: StreamConfig) -> StreamingQuery:
+    _check_zone(records)
     if config.quarantine:
-        classified = classify_records(records, config.known_schema_ids)
+        classified = _classified(records, config)
         # of an accepted record only the fields are kept with the batch
         stream = classified.withColumn("value", F.when(is_defective(), F.col("value"))).select(
             *ENRICHED_COLUMNS, *QUARANTINE_COLUMNS
@@ -149,6 +162,7 @@ def start_enriched(records: DataFrame, config: StreamConfig) -> StreamingQuery:
 
 
 def start_totals(records: DataFrame, config: StreamConfig) -> StreamingQuery:
+    _check_zone(records)
     return (
         stamp(flat_totals(totals_stream(records, config)))
         .writeStream.queryName("totals")

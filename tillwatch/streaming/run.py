@@ -23,10 +23,22 @@ from tillwatch.contract import (
 from tillwatch.operators.alerts import with_limits
 from tillwatch.session import build_session
 from tillwatch.sources.files import stream_records
-from tillwatch.sources.kafka import KafkaSource
+from tillwatch.sources.kafka import MAX_OFFSETS_PER_TRIGGER, MIN_PARTITIONS, KafkaSource
 from tillwatch.streaming.jobs import StreamConfig, await_any, start_all
 
 
+# A window holds a handful of groups, and each part of the state commits at each trigger.
+STATE_PARTITIONS = 8
+
+
+def option(text: str) -> tuple[str, str]:
+    """``NAME=VALUE`` of a connector option."""
+    name, equals, value = text.partition("=")
+    if not name or not equals:
+        raise argparse.ArgumentTypeError(f"not NAME=VALUE: {text}")
+    return name, value
+
+
 def parser() -> argparse.ArgumentParser:
     args = argparse.ArgumentParser(description="Enrich payment events, total them per window and raise alerts.")
     source = args.add_mutually_exclusive_group(required=True)
@@ -34,8 +46,15 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--replay", help="folder of record files instead of a topic")
     args.add_argument("--topic", default=TOPIC)
     args.add_argument("--starting-offsets", default="earliest", help="only for the first start")
-    args.add_argument("--min-partitions", type=int, help="tasks to split the topic partitions into")
-    args.add_argument("--max-offsets-per-trigger", type=int)
+    args.add_argument(
+        "--fail-on-data-loss",
+        action=argparse.BooleanOptionalAction,
+        default=True,
+        help="stop if the topic no longer holds the next offsets; switched off, these records are left out of all results",
+    )
+    args.add_argument("--min-partitions", type=int, default=MIN_PARTITIONS, help="tasks to split the topic partitions into")
+    args.add_argument("--max-offsets-per-trigger", type=int, default=MAX_OFFSETS_PER_TRIGGER, help="records of one batch")
+    args.add_argument("--source-option", action="append", type=option, default=[], help="NAME=VALUE for the connector; repeatable")
     args.add_argument("--max-files-per-trigger", type=int, help="with --replay")
     args.add_argument("--output", required=True, help="root folder of all results")
     args.add_argument("--checkpoint", required=True, help="root folder of both checkpoints")
@@ -49,7 +68,11 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--window", default=WINDOW_LENGTH)
     args.add_argument("--alert-count", type=int, default=ALERT_MIN_COUNT)
     args.add_argument("--alert-amount", type=float, default=ALERT_EXACT_AMOUNT)
-    args.add_argument("--shuffle-partitions", type=int, help="fixed for good by the first start")
+    args.add_argument("--max-ahead", help="longest time that an event may lie ahead of its record, e.g. '1 hour'")
+    args.add_argument("--totals-files", type=int, default=1, help="files per batch of totals and of alerts")
+    args.add_argument(
+        "--shuffle-partitions", type=int, default=STATE_PARTITIONS, help="parts of the state; fixed for good by the first start"
+    )
     return args
 
 
@@ -65,6 +88,8 @@ def config_of(args: argparse.Namespace) -> StreamConfig:
         quarantine=not args.no_quarantine,
         format=args.format,
         enriched_files=args.enriched_files,
+        totals_files=args.totals_files,
+        max_ahead=args.max_ahead,
     )
 
 
@@ -75,18 +100,17 @@ def records_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         args.bootstrap_servers,
         args.topic,
         args.starting_offsets,
+        args.fail_on_data_loss,
         min_partitions=args.min_partitions,
         max_offsets_per_trigger=args.max_offsets_per_trigger,
+        extra=dict(args.source_option),
     )
     return source.stream(spark)
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    conf = {}
-    if args.shuffle_partitions:
-        conf["spark__sql__shuffle__partitions"] = str(args.shuffle_partitions)
-    spark = build_session("tillwatch", streaming=True, **conf)
+    spark = build_session("tillwatch", streaming=True, spark__sql__shuffle__partitions=str(args.shuffle_partitions))
     queries = start_all(records_of(spark, args), config_of(args))
     if args.once:
         for query in queries:
