@@ -1,0 +1,222 @@
+"""Operators over whole tables: shards, near-duplicates, embeddings, components, and the pipeline."""
+
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tillwatch.llm import components, embed_dedup, packing, queries, sharding, simhash
+from tillwatch.llm.common import table
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def find(parents, x):
+    while parents[x] != x:
+        parents[x] = parents[parents[x]]
+        x = parents[x]
+    return x
+
+
+def joined(nodes, links):
+    """Smallest member of each node's component."""
+    parents = {node: node for node in nodes}
+    for a, b in links:
+        a, b = find(parents, a), find(parents, b)
+        parents[max(a, b)] = min(a, b)
+    return {node: find(parents, node) for node in nodes}
+
+
+# Components.
+
+
+@pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
+def test_components(spark, shape):
+    draw = np.random.default_rng(0)
+    links = {
+        "path": [(k, k + 1) for k in range(300)],
+        "star": [(5, k) for k in range(300)],
+        "random": [tuple(x) for x in draw.integers(0, 400, (300, 2)).tolist()],
+        "none": [],
+    }[shape]
+    nodes = {x for link in links for x in link}
+    frame = spark.createDataFrame([*links, (7, None), (None, None)], "u long, v long")
+    found = {row.node: row.root for row in components.connected_components(frame).collect()}
+    assert {node: found.get(node, node) for node in nodes} == joined(nodes, links)
+
+
+# Shards.
+
+
+def check_shards(rows, n_shards):
+    slots = {}
+    for row in rows:
+        slots.setdefault(row.shard, []).append(row.slot)
+    for taken in slots.values():
+        assert sorted(taken) == list(range(len(taken)))
+    return {shard: sum(row.size for row in rows if row.shard == shard) for shard in range(n_shards)}
+
+
+def test_shards_of_documents(spark, sf_dir):
+    texts = {row.doc_id: row.text for row in table(spark, sf_dir, "documents").collect()}
+    rows = queries.op4_sampled_splitter_shards(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        data = (texts[row.doc_id] or "").encode()
+        assert (row.size, row.text_crc32, row.law, row.grown_shard) == (len(data) + 1, zlib.crc32(data), "bytes", None)
+    sizes = check_shards(rows, 16)
+    largest = max(row.size for row in rows)
+    assert max(sizes.values()) - min(sizes.values()) <= 2 * largest
+
+
+def test_a_group_of_copies_is_split_and_small_ones_stay_together(spark):
+    rows = [(k, "copy " * 20) for k in range(3000)] + [(5, "row")] * 500 + [(k, f"text {k // 2}") for k in range(4000, 8000)] + [(9000, None), (None, ""), (None, "x" * 3000)]
+    found = sharding.shard_by_bytes(spark.createDataFrame([(*row, "x", 1) for row in rows], "doc_id long, text string, range string, shard int"), 8).collect()
+    assert len(found) == len(rows)
+    sizes = check_shards(found, 8)
+    assert max(sizes.values()) - min(sizes.values()) <= 6100
+    pairs = {}
+    for row in found:
+        if row.doc_id and row.doc_id >= 4000 and row.doc_id < 8000:
+            pairs.setdefault(row.doc_id // 2, set()).add(row.shard)
+    assert sum(len(shards) > 1 for shards in pairs.values()) <= 8
+
+
+def test_no_documents_no_shards(spark):
+    assert sharding.op4_sampled_splitter_shards(spark.createDataFrame([], DOCS)).isEmpty()
+    (only,) = sharding.op4_sampled_splitter_shards(spark.createDataFrame([(1, None, "en", "s", 0)], DOCS)).collect()
+    assert (only.size, only.slot) == (1, 0) and 0 <= only.shard < 16
+
+
+# SimHash.
+
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    shingles = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(shingle, 42) for shingle in shingles]
+    return sum(1 << bit for bit in range(64) if 2 * sum(h >> bit & 1 for h in hashes) > len(hashes))
+
+
+def close(prints):
+    return [(a, b) for k, a in enumerate(prints) for b in prints[:k] if (a ^ b).bit_count() <= 2]
+
+
+def test_fingerprints_equal_brute_force_and_the_sql_hash(spark):
+    for text in ["", None, "a", "A b", "a B c", "x y z w x y z", "É é\x0b1\x1c2 3 4", "w " * 5000, "Ünï cödé text of sorts"]:
+        assert simhash.fingerprint(text) % 2**64 == brute_fingerprint(text)
+    (found,) = spark.sql("select xxhash64('a b c') as h").first()
+    assert simhash.fingerprint("A b C") == found
+
+
+def test_near_duplicates_of_documents(spark, sf_dir):
+    texts = {row.doc_id: row.text for row in table(spark, sf_dir, "documents").collect()}
+    prints = {doc_id: brute_fingerprint(text) for doc_id, text in texts.items()}
+    different = sorted(set(prints.values()))
+    first = {fp: min(d for d, x in prints.items() if x == fp) for fp in different}
+    roots = joined(different, close(different))
+    least = {}
+    for fp in different:
+        least[roots[fp]] = min(least.get(roots[fp], first[fp]), first[fp])
+    for row in queries.op9_simhash_near_dedup(spark, sf_dir).collect():
+        assert row.fingerprint == f"{prints[row.doc_id]:016x}"
+        assert row.component_id == least[roots[prints[row.doc_id]]]
+
+
+def test_links_of_a_crowded_bucket_connect_as_all_pairs_do(spark):
+    """A few hundred fingerprints near each other, in buckets far over the pairwise size."""
+    draw = np.random.default_rng(2)
+    prints = {0x0123456789ABCDEF ^ sum(1 << int(bit) for bit in draw.choice(64, draw.integers(0, 5), replace=False)) for _ in range(400)}
+    prints |= {int(x) for x in draw.integers(0, 2**63, 100)}
+    signed = [x - 2**64 if x >> 63 else x for x in prints]
+    links = simhash.close_links(spark.createDataFrame([(x,) for x in signed], "fp long")).collect()
+    assert all(((row.u ^ row.v) % 2**64).bit_count() <= 2 for row in links)
+    assert joined(signed, [tuple(row) for row in links]) == joined(signed, [(a - 2**64 if a >> 63 else a, b - 2**64 if b >> 63 else b) for a, b in close(sorted(prints))])
+
+
+def test_simhash_of_odd_rows(spark):
+    rows = [(5, ""), (3, None), (None, " "), (9, "one"), (9, "one"), (None, "lonely words here"), (7, "word " * 30000)]
+    frame = spark.createDataFrame([(*row, "x", 1) for row in rows], "doc_id long, text string, fp string, _row int")
+    found = simhash.near_duplicates(frame).collect()
+    assert sorted((row.doc_id or 0, row.component_id or 0) for row in found) == [(0, 0), (0, 3), (3, 3), (5, 3), (7, 7), (9, 9), (9, 9)]
+    kept = simhash.first_of_each_group(frame)
+    assert kept.columns == frame.columns
+    assert sorted(str(row.doc_id) for row in kept.collect()) == ["3", "7", "9", "None"]
+    assert simhash.near_duplicates(frame.limit(0)).isEmpty() and simhash.first_of_each_group(frame.limit(0)).isEmpty()
+
+
+# Embeddings.
+
+
+def brute_links(vectors):
+    usable = {}
+    for key, vector in vectors.items():
+        if vector and all(x is not None and np.isfinite(x) for x in vector) and any(vector):
+            x = np.array(vector, np.float32).astype(float)
+            usable[key] = x / np.linalg.norm(x)
+    return [(a, b) for a in usable for b in usable if a < b and len(usable[a]) == len(usable[b]) and usable[a] @ usable[b] >= 0.95]
+
+
+def check_vectors(found, vectors):
+    links = brute_links(vectors)
+    roots = joined(vectors, links)
+    for row in found:
+        assert row.n_links == sum(row.vec_id in link for link in links)
+        assert (row.component_id, row.kept) == (roots[row.vec_id], row.vec_id == roots[row.vec_id])
+
+
+def test_embeddings_of_the_table(spark, sf_dir):
+    vectors = {row.vec_id: list(row.embedding) for row in table(spark, sf_dir, "embeddings").collect()}
+    check_vectors(queries.op5_hyperplane_embedding_dedup(spark, sf_dir).collect(), vectors)
+
+
+def test_embeddings_in_crowds(spark, monkeypatch):
+    """Copies, a dense cloud over several blocks, scaled vectors, and vectors that link with nothing."""
+    monkeypatch.setattr(embed_dedup, "BLOCK", 32)
+    draw = np.random.default_rng(4)
+    centre = draw.normal(size=16)
+    vectors = {k: (centre + draw.normal(scale=0.18, size=16)).astype(np.float32).tolist() for k in range(200)}
+    vectors |= {300 + k: draw.normal(size=16).astype(np.float32).tolist() for k in range(60)}
+    vectors |= {400 + k: vectors[3] for k in range(50)}
+    vectors |= {500: (np.array(vectors[301], np.float32) * 4).tolist(), 501: None, 502: [0.0] * 16, 503: [float("nan")] * 16, 504: [float("inf")] + [1.0] * 15}
+    vectors |= {505: [None] + [1.0] * 15, 506: [], 507: [1.0, 2.0], 508: [1.0, 2.0], 509: [3e38] * 16, 510: [1e-38] * 16}
+    frame = spark.createDataFrame([(key, vector, "x") for key, vector in vectors.items()], "vec_id long, embedding array<float>, class_id string")
+    check_vectors(embed_dedup.near_duplicate_vectors(frame).collect(), vectors)
+    twice = embed_dedup.near_duplicate_vectors(frame.where("vec_id = 501").union(frame.where("vec_id = 502")).union(frame.where("vec_id = 502")))
+    assert sorted((row.vec_id, row.n_links) for row in twice.collect()) == [(501, 0), (502, 0), (502, 0)]
+    assert embed_dedup.near_duplicate_vectors(frame.limit(0)).isEmpty()
+
+
+# Pipeline.
+
+
+def test_stages_work_on_what_is_left(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    left = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before, left = left, stage(spark, left, sf_dir)
+        assert left.columns == docs.columns, name
+        assert left.count() < before.count() and left.exceptAll(before).isEmpty(), name
+    prints = [brute_fingerprint(row.text) for row in left.collect()]
+    assert len(set(prints)) == len(prints) and not close(prints)
+    pieces = corpus_pipeline.run(spark, sf_dir)
+    assert pieces.where("start = 0").count() == left.count()
+    assert {row.doc_id for row in pieces.collect()} == {row.doc_id for row in left.collect()}
+    clean = table(spark, sf_dir, "labels").where("quality = 1").join(docs, "doc_id")
+    rejected = clean.join(corpus_pipeline.quality_classifier(spark, docs, sf_dir), "doc_id", "left_anti")
+    assert rejected.count() <= 0.03 * clean.count()
+
+
+def test_stages_of_odd_tables(spark, sf_dir):
+    rows = [(1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, None, None, None, None), (None, "some text here", "en", "s", 3), (3, "word and so on " * 9000, "en", "s", 1)]
+    odd = spark.createDataFrame(rows, DOCS).withColumns({"_row": F.lit(1), "stats": F.lit("x"), "score": F.lit("y")})
+    for frame in (odd, odd.limit(0)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            left = stage(spark, frame, sf_dir)
+            assert left.columns == frame.columns and left.count() <= frame.count()
+        assert packing.pack(frame).where("start = 0").count() == frame.count()
