@@ -243,6 +243,10 @@ def test_main_text_of_a_page():
     ]
 
 
+def test_a_page_in_one_form_is_read():
+    assert html_main.main_blocks("<body><form id=all>" + PAGE.split('<div id="content">')[1].split("</div>")[0] + "</form>")[-1] == "End."
+
+
 @pytest.mark.parametrize("html", [None, "", "   ", "<", "<p", "<!--", "<script>x", "<nav><a>x</a>", "<" * 20000, '<a "' * 5000, "<div>" * 3000])
 def test_broken_pages(html):
     assert isinstance(html_main.main_blocks(html), list)

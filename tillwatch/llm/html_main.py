@@ -31,15 +31,15 @@ _NEVER = frozenset("nav footer aside form button dialog menu object canvas audio
 #: Sectioning elements: what lies directly in the same one belongs together.
 _SECTIONS = frozenset("article main section div td body blockquote".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar".split())
-#: Words in class or id that mark what surrounds an article; a word matches from its start.
+#: Words in class or id that mark what surrounds an article; a word is bounded by the ends, blanks, hyphens or underscores.
 _AROUND = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|banner\w*|cookies?|consent|gdpr|notices?|notification\w*|popup|modal|overlay|newsletter|subscri\w*|"
-    r"share|sharing|social|sidebar\w*|menus?|nav|navbar|navigation|breadcrumbs?|footer|comments?|commentlist|disqus|repl(?:y|ies)|respond|discussion|related|recommend\w*|"
-    r"widgets?|pagination|pager|masthead|toolbar|login|signup|search|skip|toc|tags?|byline-links)(?=$|[\s_-])",
+    r"(?:^|[\s_-])(?:ads?(?:\d+|box|slot|unit|wrap\w*|container)?|advert\w*|adsense|sponsor\w*|promo\w*|\w*banner\w*|cookie\w*|consent|gdpr|notices?|notification\w*|alerts?|popup|modal|overlay|"
+    r"newsletter|subscri\w*|share|sharing|social|sidebar\w*|asides?|rail|\w*menus?|\w*nav|\w*navbar|navigation|breadcrumbs?|\w*footer|copyright|comment(?!ary)\w*|disqus|repl(?:y|ies)|respond|discussion|"
+    r"related|recommend\w*|widgets?|pagination|pager|masthead|toolbar|login|sign-?up|forms?|search|skip|toc|tags?)(?=$|[\s_-])",
     re.IGNORECASE,
 )
-_HEADER = re.compile(r"(?:^|[\s_-])(?:header|topbar|top-bar|site-title)(?=$|[\s_-])", re.IGNORECASE)
-_READERS = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|repl(?:y|ies))(?=$|[\s_-])", re.IGNORECASE)
+_HEADER = re.compile(r"(?:^|[\s_-])(?:\w*header|topbar|top-bar|site-title)(?=$|[\s_-])", re.IGNORECASE)
+_READERS = re.compile(r"(?:^|[\s_-])(?:comment(?!ary)\w*|disqus|repl(?:y|ies))(?=$|[\s_-])", re.IGNORECASE)
 _WHOLE = frozenset("html body main article".split())
 
 
@@ -62,6 +62,12 @@ def _surrounds(tag: str, attrs: str, inside: bool) -> bool:
     return False
 
 
+def _wraps_page(html: str, start: int) -> bool:
+    """Whether a form that opens before ``start`` holds over half of the page, as some systems put all of it in one."""
+    end = html.find("</form", start)
+    return (len(html) if end < 0 else end) - start > len(html) / 2
+
+
 def text_lines(html: str, strip: bool = True) -> list[tuple[str, int, int, bool]]:
     """Lines of a page: text, length of it outside links, number of the sectioning element around it, whether that is in an article or main element.
 
@@ -111,7 +117,7 @@ def text_lines(html: str, strip: bool = True) -> list[tuple[str, int, int, bool]
         if tag == "br":
             put(" ")
             continue
-        if not closing and strip and _surrounds(tag, token["attrs"], inside > 0):
+        if not closing and strip and _surrounds(tag, token["attrs"], inside > 0) and not (tag == "form" and _wraps_page(html, at)):
             if tag not in _INLINE:
                 end_line()
             if tag not in _VOID and not token["attrs"].endswith("/"):
