@@ -236,11 +236,18 @@ def training_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The bounded sample: DOCS_PER_LANGUAGE documents of each language by the hash of their id, UNITS_PER_DOC units spread over each."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(learnable("id") & F.col("lang").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = rows.select("id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= DOCS_PER_LANGUAGE)
-    n_languages = rows.agg(F.count_distinct("lang")).first()[0]
-    if n_languages > MAX_LANGUAGES:
-        raise ValueError(f"{n_languages} languages; the network is meant for up to {MAX_LANGUAGES}")
+    sizes = rows.groupBy("lang").agg(F.count_distinct("id").alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"the network is meant for up to {MAX_LANGUAGES} languages")
+    # Every row is drawn or not by the hash of its id, at a rate that gives each language somewhat more ids than are taken;
+    # so what meets in a task to be ordered is bounded as well.
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
+    rate = F
+    for row in sizes:
+        rate = rate.when(F.col("lang") == row["lang"], min(1.0, 2 * DOCS_PER_LANGUAGE / row["n"]))
+    drawn = rows.select("id", "lang").where(draw < rate.otherwise(0.0) if sizes else F.lit(False)).distinct()
+    order = Window.partitionBy("lang").orderBy(draw, "id")
+    chosen = drawn.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= DOCS_PER_LANGUAGE)
 
     def units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -252,7 +259,7 @@ def training_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             yield pd.DataFrame(found, columns=["lang", "unit"], dtype=object)
 
     # At most DOCS_PER_LANGUAGE x MAX_LANGUAGES ids are sent to every task.
-    sample = rows.join(F.broadcast(chosen.select("id", "lang").distinct()), ["id", "lang"]).select("text", "lang")
+    sample = rows.join(F.broadcast(chosen.select("id", "lang")), ["id", "lang"]).select("text", "lang")
     return [tuple(row) for row in sample.mapInPandas(units, "lang string, unit string").collect()]
 
 
