@@ -232,6 +232,6 @@ def judged(
 
 def op3_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The digest of the query: base statistics, base check, verdict and the rule behind it."""
-    rows, _ = judged(docs.select("doc_id", "text"), labels)
+    rows, _ = judged(docs.select("doc_id", "text"), labels, carry=[])
     base = [F.col(f"stats.{name}").alias(name) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")]
     return rows.select("doc_id", *base, "kept", "rule")
