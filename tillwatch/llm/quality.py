@@ -167,23 +167,25 @@ def fit_quality(labelled: DataFrame) -> QualityModel:
 
 
 def scored(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str, str] = ("features", "score", "predicted"), carry: list[str] | None = None
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", names: tuple[str, str, str] = ("features", "score", "predicted"), narrow: bool = False
 ) -> DataFrame:
     """``docs`` with statistics, score (likelihood of label 1) and prediction (1 from a score of 0.5).
 
     Learns from every labelled row of ``docs`` that is not held out; an id that is labelled both ways
     teaches nothing. Null and empty texts have zero statistics and get a score like any other; repeated
-    rows stay. Rows keep the columns ``carry`` (all by default); one named as the added ones (``names``) is replaced.
+    rows stay. A column named as the added ones (``names``) is replaced.
+
+    The statistics are written with the ids alone. A ``narrow`` result has just these; otherwise the
+    statistics are made again beside the other columns, so that no second copy of the texts lies on disk.
     """
     features, score, predicted = names
     docs = docs.drop(*names)
-    carried = [name for name in (docs.columns if carry is None else carry) if name not in names]
-    rows = written(with_stats(docs, text_col, features).select(*[F.col(f"`{name}`") for name in dict.fromkeys([*carried, id_col, features])]), "features")
+    rows = written(with_stats(docs.select(id_col, text_col), text_col, features).select(id_col, features), "features")
     one = labels.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("low"), F.max("quality").alias("y"))
     one = one.where("low = y").select(F.col("doc_id").alias("labelled_id"), "y")
     usable = rows.where(learnable(id_col)).select(F.col(id_col).alias("id"), F.col(features).alias("features"))
     part = F.pmod(F.xxhash64("id"), F.lit(4)) == 0
     labelled = written(usable.join(one, F.col("id") == F.col("labelled_id")).select("features", "y", part.alias("part")), "labelled")
     model = fit_quality(labelled)
-    out = rows.withColumn(score, _scores(model, True, features))
+    out = (rows if narrow else with_stats(docs, text_col, features)).withColumn(score, _scores(model, True, features))
     return out.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))

@@ -49,7 +49,7 @@ def op6_sentencepiece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scored(docs, table(spark, sf_dir, "labels")).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    return scored(docs, table(spark, sf_dir, "labels"), narrow=True).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
 def op8_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
