@@ -19,10 +19,10 @@ from pyspark.sql import functions as F
 SEQUENCE_TOKENS = 2048
 END_ID = 1
 #: What a cut costs, in tokens of padding: at the end of a sentence, and inside a long one.
-SENTENCE_CUT = 8
-INNER_CUT = 40
+SENTENCE_CUT = 4
+INNER_CUT = 16
 #: A sentence of more than so many tokens may also be cut after every so many.
-INNER_STEP = 64
+INNER_STEP = 32
 #: Documents of about so many tokens are optimised together; the last windows are decided with the next ones.
 RUN_TOKENS = 1 << 19
 OPEN_WINDOWS = 4
