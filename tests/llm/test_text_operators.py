@@ -325,6 +325,22 @@ def test_viterbi_equals_every_path(spark):
     assert len(found[words[-1]]) > 30
 
 
+def test_every_document_is_encoded(spark, sf_dir, pieces):
+    """The query reads documents; words that are not sent to the tasks get the same ids there."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_lattice.model_path(None))
+    docs = table(spark, sf_dir, "documents")
+    texts = {row.doc_id: row.text or "" for row in docs.collect()}
+    found = queries.op6_sentencepiece_lattice(spark, sf_dir).collect()
+    assert sorted(row.doc_id for row in found) == sorted(texts)
+    for row in found:
+        assert row.ids == model.encode(texts[row.doc_id]) and row.n_pieces == len(row.ids) and row.decoded == model.decode(row.ids)
+    for most in (0, 500):
+        for row in piece_lattice.encode(docs, pieces, ["doc_id"], most_words=most).collect():
+            assert row.ids == model.encode(texts[row.doc_id])
+
+
 # Packing.
 
 

@@ -44,7 +44,11 @@ def op5_hyperplane_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def op6_sentencepiece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces_of(table(spark, sf_dir, "conversations"))
+    return pieces_of(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op6_sentencepiece_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces_of(table(spark, sf_dir, "conversations"), ["conv_id", "turn"])
 
 
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +75,7 @@ _QUERIES: tuple[Query, ...] = (
     op4_sampled_splitter_shards,
     op5_hyperplane_embedding_dedup,
     op6_sentencepiece_lattice,
+    op6_sentencepiece_turns,
     op7_quality_classifier,
     op8_line_block_html,
     op9_simhash_near_dedup,
