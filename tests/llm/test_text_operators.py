@@ -222,6 +222,18 @@ def test_every_license_line_of_the_documents(spark, sf_dir):
         assert row.license == next((name for words, name in names.items() if words in texts[row.doc_id]), None)
 
 
+def test_reserved_rights_are_a_licence(spark):
+    """Every planted line of documents, among them 'All rights reserved.', which stands back behind a notice that grants rights."""
+    sf_dir = "/root/testdata/sf0.01"
+    names = {"GNU General Public": "GPL-3.0", "CC BY-NC": "CC-BY-NC-4.0", "MIT License": "MIT", "Apache License": "Apache-2.0", "All rights reserved": "Proprietary"}
+    texts = {row.doc_id: row.text or "" for row in table(spark, sf_dir, "documents").collect()}
+    assert any("All rights reserved" in text for text in texts.values())
+    for row in queries.op2_license_scan(spark, sf_dir).collect():
+        assert row.license == next((name for words, name in names.items() if words in texts[row.doc_id]), None)
+    rows = [(1, "a", "All rights reserved.\n" + licenses.TEMPLATES["BSD-3-Clause"][1][:250])]
+    assert licenses.scan_licenses(spark.createDataFrame(rows, "doc_id int, path string, text string")).first().license == "BSD-3-Clause"
+
+
 # Main text of pages.
 
 PAGE = """<!doctype html><html><head><title>T</title><style>p{}</style></head><body class="has-sidebar">
