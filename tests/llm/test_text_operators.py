@@ -222,6 +222,13 @@ def test_every_license_line_of_the_documents(spark, sf_dir):
         assert row.license == next((name for words, name in names.items() if words in texts[row.doc_id]), None)
 
 
+def test_licences_of_deep_directories(spark):
+    deep = "/".join(["d"] * 40)
+    rows = [(1, f"{deep}/x/LICENSE", "Released under the MIT License."), (2, f"{deep}/y/COPYING", "Released under the ISC License"), (3, f"/{deep}//x/z/f", ""), (4, f"{deep}/y/f", ""), (5, f"{deep}/f", "")]
+    found = {row.doc_id: row.license for row in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id int, path string, text string")).collect()}
+    assert found == {1: "MIT", 2: "ISC", 3: "MIT", 4: "ISC", 5: None}
+
+
 def test_reserved_rights_are_a_licence(spark):
     """Every planted line of documents, among them 'All rights reserved.', which stands back behind a notice that grants rights."""
     sf_dir = "/root/testdata/sf0.01"
