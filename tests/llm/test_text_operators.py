@@ -262,6 +262,12 @@ def test_main_text_of_a_page():
     ]
 
 
+@pytest.mark.parametrize("old, new", [("</head>", ""), ("</head><body ", "<body "), ("<h1>", "<svg class='menu' viewBox='0 0 1 1'/><h1>"), ("<h1>", "<svg><title>no</title></svg><h1>"), ("<h1>", "<select><h1>"), ("<head>", "<head class=sidebar>")])
+def test_pages_with_open_ends(old, new):
+    """A head without an end, and elements that are empty or never closed, leave the text as it is."""
+    assert old in PAGE and html_main.main_blocks(PAGE.replace(old, new)) == html_main.main_blocks(PAGE) != []
+
+
 def test_a_page_in_one_form_is_read():
     assert html_main.main_blocks("<body><form id=all>" + PAGE.split('<div id="content">')[1].split("</div>")[0] + "</form>")[-1] == "End."
 

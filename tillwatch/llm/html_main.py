@@ -16,7 +16,8 @@ WINDOW_LINES = 3
 SURGE_CHARS = 80
 
 _TOKEN = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>script|style|noscript|template|svg|iframe|textarea|select|head)\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"""
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(?P<raw>script|style|textarea)\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"""
+    r"""|<svg\b(?:[^>"']|"[^"]*"|'[^']*')*+(?<!/)>.*?</svg\s*>|<(?P<island>noscript|template|iframe|select|title)\b(?:[^>"']|"[^"]*"|'[^']*')*+>.*?</(?P=island)\s*>"""
     r"""|<(?P<close>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^<>"']|"[^"]*"|'[^']*')*+|[^<>]*)>|<[!?][^>]*>""",
     re.IGNORECASE | re.DOTALL,
 )
@@ -26,6 +27,8 @@ _VOID = frozenset("area base br col embed hr img input link meta source track wb
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr".split()
 )
+#: Elements that are passed over up to their closing tag; without one, or self-closed, only the tag is.
+_ISLANDS = frozenset("noscript template svg iframe select title".split())
 #: Elements that hold no article text wherever they stand.
 _NEVER = frozenset("nav footer aside form button dialog menu object canvas audio video map".split())
 #: Sectioning elements: what lies directly in the same one belongs together.
@@ -40,7 +43,7 @@ _AROUND = re.compile(
 )
 _HEADER = re.compile(r"(?:^|[\s_-])(?:\w*header|topbar|top-bar|site-title)(?=$|[\s_-])", re.IGNORECASE)
 _READERS = re.compile(r"(?:^|[\s_-])(?:comment(?!ary)\w*|disqus|repl(?:y|ies))(?=$|[\s_-])", re.IGNORECASE)
-_WHOLE = frozenset("html body main article".split())
+_WHOLE = frozenset("html head body main article".split())
 
 
 def _surrounds(tag: str, attrs: str, inside: bool) -> bool:
@@ -100,7 +103,7 @@ def text_lines(html: str, strip: bool = True) -> list[tuple[str, int, int, bool]
         put(html[at : token.start()])
         at = token.end()
         tag = (token["tag"] or "").lower()
-        if not tag:
+        if not tag or tag in _ISLANDS:
             continue
         closing = bool(token["close"])
         if skipped:
