@@ -11,6 +11,7 @@ from tillwatch.llm.embed_dedup import near_duplicate_vectors
 from tillwatch.llm.html_main import op8_line_block_html as html_of
 from tillwatch.llm.language import fit_language, identify
 from tillwatch.llm.licenses import op2_license_scan as licenses_of
+from tillwatch.llm.mixing import op11_entropy_mixture as mixture_of
 from tillwatch.llm.packing import pack
 from tillwatch.llm.piece_lattice import op6_sentencepiece_lattice as pieces_of
 from tillwatch.llm.quality import scored
@@ -68,6 +69,10 @@ def op10_order_preserving_packing(spark: SparkSession, sf_dir: str) -> DataFrame
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op11_entropy_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture_of(table(spark, sf_dir, "documents"))
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_byte_network_language,
     op2_license_scan,
@@ -80,6 +85,7 @@ _QUERIES: tuple[Query, ...] = (
     op8_line_block_html,
     op9_simhash_near_dedup,
     op10_order_preserving_packing,
+    op11_entropy_mixture,
 )
 
 
