@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.llm.common import held_out, table
+from tillwatch.llm.conversation_repair import op12_conversation_repair as repair_of
 from tillwatch.llm.embed_dedup import near_duplicate_vectors
 from tillwatch.llm.html_main import op8_line_block_html as html_of
 from tillwatch.llm.language import fit_language, identify
@@ -73,6 +74,10 @@ def op11_entropy_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture_of(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_of(table(spark, sf_dir, "conversations"))
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_byte_network_language,
     op2_license_scan,
@@ -86,6 +91,7 @@ _QUERIES: tuple[Query, ...] = (
     op9_simhash_near_dedup,
     op10_order_preserving_packing,
     op11_entropy_mixture,
+    op12_conversation_repair,
 )
 
 
