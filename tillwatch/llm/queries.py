@@ -15,6 +15,7 @@ from tillwatch.llm.licenses import op2_license_scan as licenses_of
 from tillwatch.llm.mixing import op11_entropy_mixture as mixture_of
 from tillwatch.llm.packing import pack
 from tillwatch.llm.piece_lattice import op6_sentencepiece_lattice as pieces_of
+from tillwatch.llm.prefix_trie import op13_prefix_trie as trie_of
 from tillwatch.llm.quality import scored
 from tillwatch.llm.rules import op3_quality_rules as rules_of
 from tillwatch.llm.sharding import op4_sampled_splitter_shards as shards_of
@@ -78,6 +79,10 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_of(table(spark, sf_dir, "conversations"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_of(table(spark, sf_dir, "conversations"))
+
+
 _QUERIES: tuple[Query, ...] = (
     op1_byte_network_language,
     op2_license_scan,
@@ -92,6 +97,7 @@ _QUERIES: tuple[Query, ...] = (
     op10_order_preserving_packing,
     op11_entropy_mixture,
     op12_conversation_repair,
+    op13_prefix_trie,
 )
 
 
