@@ -13,6 +13,7 @@ from tillwatch.llm.html_main import op8_line_block_html as html_of
 from tillwatch.llm.language import fit_language, identify
 from tillwatch.llm.licenses import op2_license_scan as licenses_of
 from tillwatch.llm.mixing import op11_entropy_mixture as mixture_of
+from tillwatch.llm.oracle import oracle_sql  # noqa: F401  registered beside the queries
 from tillwatch.llm.packing import pack
 from tillwatch.llm.piece_lattice import op6_sentencepiece_lattice as pieces_of
 from tillwatch.llm.prefix_trie import op13_prefix_trie as trie_of
@@ -103,7 +104,3 @@ _QUERIES: tuple[Query, ...] = (
 
 def queries() -> dict[str, Query]:
     return {query.__name__: query for query in _QUERIES}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}
