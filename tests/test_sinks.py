@@ -103,6 +103,22 @@ def test_a_filter_on_the_hour_prunes_folders(spark, tmp_path, capsys):
     assert "PartitionFilters: [isnotnull(proc_date" in plan and "proc_hour" in plan
 
 
+def test_one_csv_file_is_read_by_many_tasks(spark, tmp_path):
+    """Cells with line breaks, quotes and control characters, over the borders of the parts of one file."""
+    folders = BatchFolders(str(tmp_path), hourly=True)
+    rows = [(TIME, f'{k}\n"\r\n,{k}', "\x01n\x00", True, str(k), float(k), "\n", None, "", "x" * (k % 50)) for k in range(4000)]
+    folder = write(folders, enriched(spark, rows), 0, files=1)
+    (part,) = Path(folder).glob("part-*.csv")
+    assert len(part.read_bytes().splitlines()) == 4001
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(part.stat().st_size // 8))
+    try:
+        found = folders.read(spark, ENRICHED_SCHEMA)
+        assert found.rdd.getNumPartitions() >= 8
+        assert sorted(tuple(row)[:10] for row in found.select(*ENRICHED_SCHEMA.names).fillna("none", ["ip_address"]).collect()) == sorted((*row[:7], "none", *row[8:]) for row in rows)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(texts=st.lists(st.one_of(st.none(), st.text(st.characters(codec="utf-8"), max_size=8)), min_size=1, max_size=30))
 def test_any_text_comes_back(spark, tmp_path_factory, texts):

@@ -18,6 +18,7 @@ QUARANTINE_COLUMNS = tuple(QUARANTINE_SCHEMA.names)
 # A record without a usable event time cannot enter a window, yet its fields
 # are whole: it stays among the enriched events and is reported as well.
 TIME_STAGE = "time"
+STAGES = ("frame", "utf8", "json", "schema", "parse", TIME_STAGE)
 
 
 def classify_records(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,14 +24,18 @@ from tillwatch.operators.decode import decode_records
 from tillwatch.operators.enrich import accepted_events, classify_records, quarantined_records
 from tillwatch.operators.parse import parse_messages
 from tillwatch.operators.render import encode_log, order_records, payment_events, render_log
+from tillwatch.operators.schemas import SCHEMA_TABLE, decode_by_schema
 from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, window_totals
 from tillwatch.plans.variants import (
+    TWO_SCHEMAS,
     control_characters,
+    exact_amounts,
     extreme_times,
     faulty_records,
     future_times,
     sparse_events,
     time_texts,
+    two_schemas,
     untidy_messages,
 )
 from tillwatch.session import work_dir
@@ -188,3 +194,22 @@ def control_character_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = accepted_events(classify_records(control_characters(read_orders(spark, sf_dir))))
     found = _written_twice(BatchFolders(work_dir(spark, "control"), hourly=True), events, ENRICHED_SCHEMA)
     return found.withColumn("level", F.hex(F.encode("level", "UTF-8")))
+
+
+# In how many tasks the same amounts are added up.
+SUM_TASKS = (1, 7, 64)
+
+
+def exact_amount_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts on an exact total, from amounts that reach it in whatever order and number of tasks they are added."""
+    events = exact_amounts(read_orders(spark, sf_dir))
+    rules = [replace(PAYMENT_FAILURES, min_count=10**15)]
+    found = [find_alerts(flat_totals(window_totals(events.repartition(tasks))), rules).withColumn("tasks", F.lit(tasks)) for tasks in SUM_TASKS]
+    return presentable(reduce(DataFrame.union, found))
+
+
+def validate_by_schema_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of two schemas in one topic, each checked by its own."""
+    decoded = decode_by_schema(two_schemas(read_orders(spark, sf_dir)), spark.createDataFrame(TWO_SCHEMAS, SCHEMA_TABLE))
+    fields = [F.element_at("fields", name).alias(f"{name}_text") for name in ("message", "order", "weight", "customer", "tags")]
+    return decoded.select("order_key", "schema_id", "defect.stage", "defect.error", *fields)

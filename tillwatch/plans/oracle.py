@@ -88,6 +88,14 @@ faults(version, stage, error) AS (
 ),
 faulty AS (SELECT texts.*, k % 17 AS version, stage, error FROM texts LEFT JOIN faults ON k % 17 = version)"""
 
+_ACCEPTED = f"""WITH {LOG}, {_FAULTS}
+SELECT CASE WHEN stage IS NULL THEN event_time END AS event_time, level, type, is_failed, order_id, amount, user_id,
+       ip AS ip_address, payment_id, fail_reason
+FROM faulty WHERE stage IS NULL OR stage = 'time'"""
+
+_QUARANTINED = f"""WITH {LOG}, {_FAULTS}
+SELECT k AS order_key, 'payment' AS topic, 0 AS partition, stage, error FROM faulty WHERE stage IS NOT NULL"""
+
 _ENRICHED = f"WITH {LOG}\nSELECT {ENRICHED_FIELDS} FROM log"
 _MINUTE_TOTALS = f"WITH {TOTALS}\nSELECT * FROM totals"
 _ALL_ALERTS = _alerts(_PAYMENT_RULE, _REFUND_RULE)
@@ -139,10 +147,7 @@ SELECT k AS order_key,
 FROM faulty""",
         "quarantine_counts": f"""WITH {LOG}, {_FAULTS}
 SELECT stage, error, count(*) AS record_count FROM faulty WHERE stage IS NOT NULL GROUP BY ALL""",
-        "accepted_with_faults": f"""WITH {LOG}, {_FAULTS}
-SELECT CASE WHEN stage IS NULL THEN event_time END AS event_time, level, type, is_failed, order_id, amount, user_id,
-       ip AS ip_address, payment_id, fail_reason
-FROM faulty WHERE stage IS NULL OR stage = 'time'""",
+        "accepted_with_faults": _ACCEPTED,
         "event_time_parse": f"""WITH {LOG},
 forms AS (SELECT k, k % 8 AS form, event_time, strftime(event_time, '%Y-%m-%dT%H:%M:%S') AS day_time,
                  date_trunc('second', event_time) AS whole FROM log)
@@ -170,8 +175,7 @@ SELECT {_TOTAL_COLUMNS} FROM sparse WHERE event_time IS NOT NULL GROUP BY ALL"""
         "hourly_partition_roundtrip": _ENRICHED,
         "daily_agg_roundtrip": _MINUTE_TOTALS,
         "stream_enriched_append": _ENRICHED,
-        "stream_quarantine": f"""WITH {LOG}, {_FAULTS}
-SELECT k AS order_key, 'payment' AS topic, 0 AS partition, stage, error FROM faulty WHERE stage IS NOT NULL""",
+        "stream_quarantine": _QUARANTINED,
         "stream_minute_totals": _MINUTE_TOTALS,
         "stream_alerts": _ALL_ALERTS,
         "stream_late_drop": f"""WITH {LOG}, {_LATE}
@@ -203,6 +207,32 @@ counted AS (SELECT date_trunc('minute', event_time) AS start, count(*) AS n FROM
 seen AS (SELECT date_trunc('minute', event_time) AS start, 2 * count(*) AS n FROM log GROUP BY ALL)
 SELECT start, start + INTERVAL 1 MINUTE AS "end", seen.n - counted.n AS dropped
 FROM seen JOIN counted USING (start) WHERE seen.n > counted.n""",
+        "exact_amount_alerts": f"""SELECT tasks, make_timestamp(1704067200000000 + k * 60000000) AS start, make_timestamp(1704067260000000 + k * 60000000) AS "end",
+       'Payment' AS type, TRUE AS is_failed, n AS event_count, 10000.0::DOUBLE AS total_amount, 'payment_failures' AS rule,
+       printf('{PAYMENT_ALERT_TEXT}', n, 10000.0) AS alert_message
+FROM (SELECT o_orderkey // 20 AS k, count(*) AS n FROM orders GROUP BY ALL), (VALUES (1), (7), (64)) AS t(tasks)""",
+        "validate_by_schema_id": f"""WITH {LOG},
+found AS (SELECT *, k % 11 AS version, k % 11 NOT IN (4, 6, 7, 8, 9, 10) AS sound, k % 11 = 5 AS is_order FROM texts)
+SELECT k AS order_key, CASE WHEN version = 8 THEN 9 WHEN version IN (5, 6, 7, 10) THEN 2 ELSE 1 END::BIGINT AS schema_id,
+       CASE WHEN version = 8 THEN 'frame' WHEN NOT sound THEN 'schema' END AS stage,
+       CASE version WHEN 4 THEN 'level is not of type string' WHEN 6 THEN 'order is not of type integer' WHEN 7 THEN 'customer is not of type object'
+                    WHEN 8 THEN 'unknown schema id' WHEN 9 THEN 'level is not of type string' WHEN 10 THEN 'tags is not of type array' END AS error,
+       CASE WHEN sound AND NOT is_order THEN message END AS message_text, CASE WHEN is_order THEN k::VARCHAR END AS order_text,
+       CASE WHEN is_order THEN '1.5' END AS weight_text, CASE WHEN is_order THEN '{{"id":' || o_custkey || '}}' END AS customer_text,
+       CASE WHEN is_order THEN '[1,2]' END AS tags_text
+FROM found JOIN orders ON k = o_orderkey""",
+        "restarted_totals": _MINUTE_TOTALS,
+        "continued_totals": _MINUTE_TOTALS,
+        "stream_chained_totals": _MINUTE_TOTALS,
+        "stream_event_log": _ACCEPTED,
+        "stream_event_log_quarantine": _QUARANTINED,
+        "merged_hours": _ENRICHED,
+        "stream_batch_counts": f"""WITH {LOG}, {_FAULTS}
+SELECT 'records' AS counted, count(*) AS n FROM faulty
+UNION ALL
+SELECT counted, count(faulty.k) AS n FROM (VALUES ('frame'), ('utf8'), ('json'), ('schema'), ('parse'), ('time')) AS t(counted)
+LEFT JOIN faulty ON stage = counted GROUP BY counted""",
+        "awaited_failure": "SELECT 'failing' AS query, count(*) AS records, TRUE AS other_runs FROM orders",
         "stream_late_enriched": f"{_ENRICHED}\nUNION ALL\nSELECT {ENRICHED_FIELDS} FROM log",
     }
 

@@ -47,6 +47,16 @@ _QUERIES: tuple[Query, ...] = (
     stream.stream_merged_files,
     stream.stream_processing_time,
     stream.stream_dropped_events,
+    batch.exact_amount_alerts,
+    batch.validate_by_schema_id,
+    stream.restarted_totals,
+    stream.continued_totals,
+    stream.stream_chained_totals,
+    stream.stream_event_log,
+    stream.stream_event_log_quarantine,
+    stream.merged_hours,
+    stream.stream_batch_counts,
+    stream.awaited_failure,
 )
 
 

@@ -6,8 +6,10 @@ then hold.
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -20,7 +22,7 @@ from tillwatch.plans.variants import faulty_records
 from tillwatch.session import work_dir
 from tillwatch.sources.files import append_records, stream_records
 from tillwatch.sources.tables import read_orders, stream_orders
-from tillwatch.streaming.jobs import StreamConfig, start_all, start_enriched, start_totals
+from tillwatch.streaming.jobs import StreamConfig, await_any, start_all, start_chained, start_enriched, start_events, start_totals
 
 
 def one_pass_config(spark: SparkSession, label: str) -> StreamConfig:
@@ -79,15 +81,23 @@ def stream_late_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 ARRIVALS = 3
 
 
-def _arrive_in_parts(spark: SparkSession, sf_dir: str, config: StreamConfig) -> None:
-    """Totals of all orders, a third after the other; the stream stops between them and resumes."""
-    topic = f"{config.output_root}/topic"
+def _parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Records of all orders, a third after the other."""
     orders = read_orders(spark, sf_dir)
     (above,) = orders.agg(F.coalesce(F.max("o_orderkey"), F.lit(0)) + 1).first()
     part = F.floor(F.col("o_orderkey") * ARRIVALS / F.lit(above))
-    for arrival in range(ARRIVALS):
-        append_records(order_records(orders.where(part == arrival)), topic)
-        start_totals(stream_records(spark, topic), config).awaitTermination()
+    return [order_records(orders.where(part == arrival)) for arrival in range(ARRIVALS)]
+
+
+def _arrive(parts: list[DataFrame], start, config: StreamConfig, topic: str) -> None:
+    """Parts arrive one after the other; the stream stops between them and resumes."""
+    for part in parts:
+        append_records(part, topic)
+        start(stream_records(part.sparkSession, topic), config).awaitTermination()
+
+
+def _arrive_in_parts(spark: SparkSession, sf_dir: str, config: StreamConfig) -> None:
+    _arrive(_parts(spark, sf_dir), start_totals, config, f"{config.output_root}/topic")
 
 
 def _arrival_of(rows: DataFrame) -> DataFrame:
@@ -165,3 +175,92 @@ def stream_dropped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     _arrive_twice(spark, sf_dir, start_enriched, replace(config, output_root=f"{config.output_root}/kept"))
     events = replace(config, output_root=f"{config.output_root}/kept").enriched.read(spark, ENRICHED_SCHEMA)
     return presentable(dropped_events(events, latest_totals(config.totals.read(spark, TOTALS_SCHEMA))))
+
+
+def restarted_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new checkpoint over an old root reads all orders anew.
+
+    Its totals replace the old ones, which count most orders twice and whose batch ids run higher.
+    """
+    config = one_pass_config(spark, "restarted")
+    _arrive_twice(spark, sf_dir, start_totals, config)
+    again = replace(config, checkpoint_root=f"{config.checkpoint_root}-new")
+    start_totals(order_records(stream_orders(spark, sf_dir)), again).awaitTermination()
+    return presentable(latest_totals(again.totals.read(spark, TOTALS_SCHEMA)))
+
+
+def continued_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A new checkpoint goes on behind the records of the old one: their totals add up, also those of a window that both have a part of."""
+    config = one_pass_config(spark, "continued")
+    *first, last = _parts(spark, sf_dir)
+    _arrive(first, start_totals, config, f"{config.output_root}/topic")
+    further = replace(config, checkpoint_root=f"{config.checkpoint_root}-new", continues=True)
+    _arrive([last], start_totals, further, f"{config.output_root}/topic-new")
+    return presentable(latest_totals(further.totals.read(spark, TOTALS_SCHEMA)))
+
+
+def stream_chained_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over the event log, which decodes all records once and is stopped and resumed between its parts, like the totals."""
+    config = one_pass_config(spark, "chained")
+
+    def start(records: DataFrame, config: StreamConfig):
+        return start_chained(records, config)[1]
+
+    _arrive(_parts(spark, sf_dir), start, config, f"{config.output_root}/topic")
+    return presentable(latest_totals(config.totals.read(spark, TOTALS_SCHEMA)))
+
+
+def stream_event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of the event log when most records have a defect."""
+    config = one_pass_config(spark, "event-log")
+    start_events(faulty_records(stream_orders(spark, sf_dir)), config).awaitTermination()
+    return presentable(config.events.enriched(spark).select(*ENRICHED_SCHEMA.names))
+
+
+def stream_event_log_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defective records of the event log."""
+    config = one_pass_config(spark, "event-log-quarantine")
+    start_events(faulty_records(stream_orders(spark, sf_dir)), config).awaitTermination()
+    return config.events.quarantined(spark).select(F.col("offset").alias("order_key"), "topic", "partition", "stage", "error")
+
+
+def merged_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches are merged and their own folders removed before a third one comes: all events, from both kinds of folders."""
+    config = one_pass_config(spark, "merged-hours")
+    *first, last = _parts(spark, sf_dir)
+    topic = f"{config.output_root}/topic"
+    _arrive(first, start_enriched, config, topic)
+    config.enriched.merge_closed_hours(spark, ENRICHED_SCHEMA, before="9999-12-31 23")
+    config.enriched.remove_merged(spark)
+    _arrive([last], start_enriched, config, topic)
+    return presentable(config.enriched.read(spark, ENRICHED_SCHEMA).select(*ENRICHED_SCHEMA.names))
+
+
+def stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches of a stream counted while they were written: records, and defects by stage."""
+    config = one_pass_config(spark, "counts")
+    start_enriched(faulty_records(stream_orders(spark, sf_dir)), config).awaitTermination()
+    counts = config.ledger("enriched").batches(spark).select(F.explode("counts").alias("counted", "n"))
+    return counts.groupBy("counted").agg(F.sum("n").alias("n"))
+
+
+def awaited_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two running queries one fails behind its records; the error reaches the caller that waits for both, and says how many there were."""
+    config = replace(one_pass_config(spark, "failure"), trigger={"processingTime": "1 second"})
+    records = order_records(stream_orders(spark, sf_dir))
+
+    def fail(batch: DataFrame, batch_id: int) -> None:
+        raise RuntimeError(f"failed behind {batch.count()} records")
+
+    spark.streams.resetTerminated()
+    totals = start_totals(records, config)
+    records.writeStream.queryName("failing").foreachBatch(fail).option("checkpointLocation", f"{config.checkpoint_root}/failing").start()
+    try:
+        await_any(spark)
+    except StreamingQueryException as error:
+        (behind,) = re.findall(r"failed behind (\d+) records", str(error))[:1]
+        running = totals.isActive
+    finally:
+        totals.stop()
+        spark.streams.resetTerminated()
+    return spark.createDataFrame([("failing", int(behind), running)], "query string, records long, other_runs boolean")

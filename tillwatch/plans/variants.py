@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillwatch.contract import KAFKA_SCHEMA
 from tillwatch.functions.text import WHITESPACE
@@ -15,6 +16,8 @@ from tillwatch.functions.wire import frame
 from tillwatch.operators.render import payment_events, render_log
 
 VARIANTS = 17
+# 2024-01-01, when the order log begins.
+EPOCH_SECONDS = 1_704_067_200
 
 
 def faulty_records(orders: DataFrame, schema_id: int = 1) -> DataFrame:
@@ -104,6 +107,62 @@ def control_characters(orders: DataFrame) -> DataFrame:
     return _renewed(log, level=level)
 
 
+# Orders whose amounts add up to the same round total.
+EXACT_GROUP = 20
+EXACT_CENTS = 1_000_000
+
+
+def exact_amounts(orders: DataFrame) -> DataFrame:
+    """Failed payments in which each 20 orders share a minute of their own and total exactly 10000.00: the last one takes what is left."""
+    group = F.floor(F.col("o_orderkey") / EXACT_GROUP)
+    cents = F.rint(F.col("o_totalprice") * 100).cast("long") % 50_000
+    grouped = orders.select("o_orderkey", group.alias("group"), cents.alias("cents"))
+    window = Window.partitionBy("group")
+    last = F.col("o_orderkey") == F.max("o_orderkey").over(window)
+    others = F.sum("cents").over(window) - F.col("cents")
+    taken = F.when(last, EXACT_CENTS - others).otherwise(F.col("cents"))
+    return grouped.select(
+        (F.lit(EPOCH_SECONDS) + F.col("group") * 60).cast("timestamp").alias("event_time"),
+        F.lit("Payment").alias("type"),
+        F.lit(True).alias("is_failed"),
+        (taken / 100).alias("amount"),
+    )
+
+
+# Required fields of two kinds of records in one topic.
+TWO_SCHEMAS = (
+    *[(1, name, "string") for name in ("timestamp", "level", "message")],
+    (2, "order", "integer"),
+    (2, "weight", "number"),
+    (2, "customer", "object"),
+    (2, "tags", "array"),
+)
+
+
+def two_schemas(orders: DataFrame) -> DataFrame:
+    """Records of two schemas, some of them with a field missing or of another type, or under a wrong or unknown schema id; by order key modulo 11."""
+    log = render_log(payment_events(orders)).join(orders.select(F.col("o_orderkey").alias("order_key"), "o_custkey"), "order_key")
+    texts = {name: F.col(name) for name in ("timestamp", "level", "message")}
+    key, customer = F.col("order_key").cast("string"), F.concat(F.lit(',"customer":{"id":'), F.col("o_custkey").cast("string"), F.lit("}"))
+
+    def order(number: Column = key, customer: Column = customer, tags: str = "[1,2]") -> Column:
+        return F.concat(F.lit('{"order":'), number, customer, F.lit(f',"weight":1.5,"tags":{tags}}}'))
+
+    versions = {
+        4: frame(event_json(texts | {"level": "5"}), 1),
+        5: frame(order(), 2),
+        6: frame(order(number=F.concat(F.lit('"'), key, F.lit('"'))), 2),
+        7: frame(order(customer=F.lit("")), 2),
+        8: frame(order(), 9),
+        9: frame(order(), 1),
+        10: frame(order(tags="null"), 2),
+    }
+    version, value = F.pmod("order_key", F.lit(11)), F
+    for number, changed in versions.items():
+        value = value.when(version == number, changed)
+    return log.select("order_key", value.otherwise(frame(event_json(texts), 1)).alias("value"))
+
+
 def event_json(fields: dict[str, Column | str | None]) -> Column:
     """JSON text of an event: columns as strings, ``str`` as raw JSON, None left out."""
     members = []

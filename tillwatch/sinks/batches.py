@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwatch.sinks.ledger import Epochs, Ledger, read_or_empty
+
 STAMP = "_processed_at"
 # Folder of a batch that no stream wrote.
 NO_STREAM = "none"
@@ -29,19 +32,24 @@ _CSV_OPTIONS = {
 }
 # The reader takes a cell equal to its null mark for null. With a mark that no
 # cell holds, since NUL is escaped, "" stays an empty text and only a cell without
-# quotes is null. Cells may hold line breaks; a broken row fails the read.
-_CSV_READ_OPTIONS = _CSV_OPTIONS | {"emptyValue": "", "nullValue": "\x00", "multiLine": "true", "mode": "FAILFAST"}
-# A file whose cells may hold line breaks is read by one task, so files are cut.
-_CSV_ROWS_PER_FILE = 1_000_000
+# quotes is null. A broken row fails the read.
+_CSV_READ_OPTIONS = _CSV_OPTIONS | {"emptyValue": "", "nullValue": "\x00", "mode": "FAILFAST"}
+
+# What no cell holds, and what stands for it. A row is one line, so a file of any size is
+# read by many tasks. \x01 comes first when escaping and last when restoring.
+_ESCAPES = (("\x01", "\x01b"), ("\x00", "\x01a"), ("\n", "\x01n"), ("\r", "\x01r"))
 
 
 def _escaped(text: Column) -> Column:
-    """Text without NUL: it becomes \\x01a, and \\x01 becomes \\x01b."""
-    return F.replace(F.replace(text, F.lit("\x01"), F.lit("\x01b")), F.lit("\x00"), F.lit("\x01a"))
+    for char, mark in _ESCAPES:
+        text = F.replace(text, F.lit(char), F.lit(mark))
+    return text
 
 
 def _restored(text: Column) -> Column:
-    return F.replace(F.replace(text, F.lit("\x01a"), F.lit("\x00")), F.lit("\x01b"), F.lit("\x01"))
+    for char, mark in reversed(_ESCAPES):
+        text = F.replace(text, F.lit(mark), F.lit(char))
+    return text
 
 
 def _texts(rows: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
@@ -93,6 +101,10 @@ def stream_of(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or NO_STREAM
 
 
+# Batches that are read from a merged folder in place of their own.
+_MERGES = "run string, stream string, batch_id long, proc_date string, proc_hour string"
+
+
 @dataclass(frozen=True)
 class BatchFolders:
     """Folders ``<root>/proc_date=…[/proc_hour=…]/stream=…/batch_id=…``.
@@ -102,50 +114,119 @@ class BatchFolders:
     date and hour. ``stream`` is the id that a streaming query keeps in its
     checkpoint: batch ids start again with a new checkpoint, and what the old
     one wrote stays beside what the new one writes.
+
+    With a ``ledger`` readers take the newest epoch of its lineage and committed batches only, and
+    closed hours can be merged: ``<root>-merged`` holds the rows of many batches in files of a good size, ``<root>-merges`` says of which.
     """
 
     root: str
     format: str = "csv"
     hourly: bool = False
+    ledger: Ledger | None = None
 
     def folder(self, summary: BatchSummary, batch_id: int, stream: str = NO_STREAM) -> str:
         hour = f"/proc_hour={summary.hour}" if self.hourly else ""
         return f"{self.root.rstrip('/')}/proc_date={summary.date}{hour}/stream={stream}/batch_id={batch_id}"
 
+    def _save(self, rows: DataFrame, folder: str, *partitions: str) -> None:
+        options = {"partitionOverwriteMode": "static"}
+        if self.format == "csv":
+            rows = _texts(rows, _escaped)
+            options |= _CSV_OPTIONS
+        rows.write.mode("overwrite").options(**options).format(self.format).partitionBy(*partitions).save(folder)
+
     def write(self, rows: DataFrame, batch_id: int, summary: BatchSummary, files: int | None = None) -> str:
         """Write rows of a summarized batch from all tasks, or merged to at most ``files`` files."""
         folder = self.folder(summary, batch_id, stream_of(rows))
         rows = rows.drop(STAMP)
         if files is not None:
             rows = rows.coalesce(files)
-        options = {"partitionOverwriteMode": "static"}
-        if self.format == "csv":
-            rows = _texts(rows, _escaped)
-            options |= _CSV_OPTIONS | {"maxRecordsPerFile": str(_CSV_ROWS_PER_FILE)}
-        rows.write.mode("overwrite").options(**options).format(self.format).save(folder)
+        self._save(rows, folder)
         return folder
 
-    def read(self, spark: SparkSession, schema: T.StructType, missing_ok: bool = False) -> DataFrame:
-        """All batches, with ``proc_date``, ``proc_hour``, ``stream`` and ``batch_id`` as columns.
+    def _columns(self) -> dict[str, T.StructField]:
+        """Of the folders, from the outermost."""
+        hour = {"proc_hour": T.StringType()} if self.hourly else {}
+        kinds = {"proc_date": T.StringType()} | hour | {"stream": T.StringType(), "batch_id": T.LongType()}
+        return {name: T.StructField(name, kind) for name, kind in kinds.items()}
 
-        A root that is not there raises, since it may be a wrong path; with
-        ``missing_ok`` it reads as no rows, as before the first batch.
-        """
-        folder_columns = [T.StructField("proc_date", T.StringType())]
-        if self.hourly:
-            folder_columns.append(T.StructField("proc_hour", T.StringType()))
-        folder_columns += [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
-        full = T.StructType([*schema, *folder_columns])
-        reader = spark.read.schema(full).format(self.format)
+    def _load(self, spark: SparkSession, root: str, schema: T.StructType, missing_ok: bool) -> DataFrame:
+        reader = spark.read.schema(schema).format(self.format)
         if self.format == "csv":
             reader = reader.options(**_CSV_READ_OPTIONS)
         try:
-            found = reader.load(self.root)
+            return reader.load(root)
         except AnalysisException as error:
             if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return spark.createDataFrame([], full)
+            return spark.createDataFrame([], schema)
+
+    def _restored(self, rows: DataFrame, schema: T.StructType) -> DataFrame:
         if self.format != "csv":
-            return found
-        kept = {name: _restored(F.col(name)) for name, kind in found.dtypes if kind == "string" and name in schema.names}
-        return found.withColumns(kept)
+            return rows
+        return rows.withColumns({name: _restored(F.col(name)) for name, kind in rows.dtypes if kind == "string" and name in schema.names})
+
+    def _stored(self, spark: SparkSession, schema: T.StructType, missing_ok: bool) -> DataFrame:
+        """Rows of all batches, each from where it is to be read."""
+        folders = self._columns()
+        names = [*schema.names, *folders]
+        merges = read_or_empty(spark, f"{self.root.rstrip('/')}-merges", _MERGES)
+        runs = [row.run for row in merges.select("run").distinct().collect()]
+        own = self._load(spark, self.root, T.StructType([*schema, *folders.values()]), missing_ok or bool(runs)).select(*names)
+        if runs:
+            moved = merges.select("stream", "batch_id").distinct()
+            # stream and batch id are cells of a merged file; its folders are run, date and hour
+            cells = [folders[name] for name in ("stream", "batch_id")]
+            outer = [field for name, field in folders.items() if name.startswith("proc_")]
+            merged = self._load(spark, f"{self.root.rstrip('/')}-merged", T.StructType([*schema, *cells, T.StructField("run", T.StringType()), *outer]), False)
+            own = own.join(moved, ["stream", "batch_id"], "left_anti").select(*names).unionByName(merged.where(F.col("run").isin(*runs)).select(*names))
+        return self._restored(own, schema)
+
+    def read(self, spark: SparkSession, schema: T.StructType, missing_ok: bool = False, epoch: int | str | None = None) -> DataFrame:
+        """All batches, with ``proc_date``, ``proc_hour``, ``stream`` and ``batch_id`` as columns.
+
+        With a ledger: the committed ones of one ``epoch`` of its lineage, the newest for None, or of ``ALL``; what no ledger lists is
+        epoch 0, which is the newest only as long as nothing is listed.
+
+        A root that is not there raises, since it may be a wrong path; with
+        ``missing_ok`` it reads as no rows, as before the first batch.
+        """
+        rows = self._stored(spark, schema, missing_ok)
+        if self.ledger is None:
+            return rows
+        epochs: Epochs = self.ledger.epochs(spark)
+        return self.ledger.committed_only(rows.where(epochs.holds(epoch)))
+
+    def merge_closed_hours(self, spark: SparkSession, schema: T.StructType, before: str) -> int:
+        """Merge the committed batches of all hours before ``before`` (``yyyy-MM-dd HH``) that are not merged yet; how many these are.
+
+        Rows go to files of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, large hours to many, and keep their stream and batch.
+        One small file, written last, says what was merged: until then readers take the batches' own folders, from then on the merged
+        ones. A lost run leaves rows that nobody reads, and a replay of a merged batch is committed already and writes nothing.
+        """
+        if self.ledger is None or not self.hourly:
+            raise ValueError("only hourly folders with a ledger are merged")
+        root, run, keys = self.root.rstrip("/"), uuid.uuid4().hex, ["proc_date", "proc_hour", "stream", "batch_id"]
+        merges = read_or_empty(spark, f"{root}-merges", _MERGES)
+        closed = self.ledger.batches(spark).where(F.concat_ws(" ", "proc_date", "proc_hour") < before)
+        found = closed.join(merges, ["stream", "batch_id"], "left_anti").select(F.lit(run).alias("run"), "stream", "batch_id", "proc_date", "proc_hour")
+        # Fixed now: a batch of the last hour may be committed while the rows are written.
+        found.coalesce(1).write.json(f"{root}-merging/{run}")
+        todo = spark.read.schema(_MERGES).json(f"{root}-merging/{run}")
+        batches = todo.count()
+        if not batches:
+            return 0
+        rows = self._restored(self._load(spark, root, T.StructType([*schema, *self._columns().values()]), False), schema)
+        self._save(rows.join(todo.drop("run"), keys, "left_semi").select(*schema.names, "stream", "batch_id", "proc_date", "proc_hour").hint("rebalance", "proc_date", "proc_hour"), f"{root}-merged/run={run}", "proc_date", "proc_hour")
+        todo.coalesce(1).write.mode("error").json(f"{root}-merges/{run}")
+        return batches
+
+    def remove_merged(self, spark: SparkSession) -> int:
+        """Delete the own folders of merged batches, once no reader that began before the merge is left; how many were there."""
+        merges = read_or_empty(spark, f"{self.root.rstrip('/')}-merges", _MERGES)
+        files = spark._jvm.org.apache.hadoop.fs
+        removed = 0
+        for row in merges.collect():
+            path = files.Path(self.folder(BatchSummary(0, 0, row.proc_date, row.proc_hour), row.batch_id, row.stream))
+            removed += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        return removed

@@ -15,6 +15,7 @@ from tillwatch.operators.alerts import DEFAULT_RULES, AlertRule, find_alerts
 from tillwatch.operators.enrich import (
     ENRICHED_COLUMNS,
     QUARANTINE_COLUMNS,
+    STAGES,
     accepted_events,
     classify_records,
     is_accepted,
@@ -24,7 +25,9 @@ from tillwatch.operators.enrich import (
 )
 from tillwatch.operators.totals import TOTALS_INPUT, flat_totals, window_totals
 from tillwatch.session import UTC_ZONES
-from tillwatch.sinks.batches import BatchFolders, glance, stamp, summarize
+from tillwatch.sinks.batches import BatchFolders, BatchSummary, glance, stamp, stream_of, summarize
+from tillwatch.sinks.events import EventLog
+from tillwatch.sinks.ledger import MAIN, Ledger, Written, once
 
 
 @dataclass(frozen=True)
@@ -36,6 +39,9 @@ class StreamConfig:
     task writes its own file. ``totals_files`` merges totals and alerts, which are
     small rows; None leaves one file per state partition. ``max_ahead`` bounds how far an
     event time may lie ahead of its record's, see ``classify_records``.
+
+    A new checkpoint over an old root is a new stream of its ``lineage``: by default it reads its source
+    anew and replaces the results before it, with ``continues`` it goes on behind them; see ``Ledger``.
     """
 
     output_root: str
@@ -50,23 +56,32 @@ class StreamConfig:
     enriched_files: int | None = None
     totals_files: int | None = 1
     max_ahead: str | None = None
+    lineage: str = MAIN
+    continues: bool = False
+
+    def ledger(self, query: str) -> Ledger:
+        return Ledger(f"{self.output_root}/ledger/{query}", self.lineage, self.continues)
 
     @property
     def enriched(self) -> BatchFolders:
-        return BatchFolders(f"{self.output_root}/enriched", self.format, hourly=True)
+        return BatchFolders(f"{self.output_root}/enriched", self.format, hourly=True, ledger=self.ledger("enriched"))
+
+    @property
+    def events(self) -> EventLog:
+        return EventLog(f"{self.output_root}/events")
 
     @property
     def quarantined(self) -> BatchFolders:
         # record values are bytes, which CSV cannot hold
-        return BatchFolders(f"{self.output_root}/quarantine", "parquet", hourly=True)
+        return BatchFolders(f"{self.output_root}/quarantine", "parquet", hourly=True, ledger=self.ledger("enriched"))
 
     @property
     def totals(self) -> BatchFolders:
-        return BatchFolders(f"{self.output_root}/totals", self.format)
+        return BatchFolders(f"{self.output_root}/totals", self.format, ledger=self.ledger("totals"))
 
     @property
     def alerts(self) -> BatchFolders:
-        return BatchFolders(f"{self.output_root}/alerts", self.format)
+        return BatchFolders(f"{self.output_root}/alerts", self.format, ledger=self.ledger("totals"))
 
 
 def _classified(records: DataFrame, config: StreamConfig) -> DataFrame:
@@ -88,43 +103,58 @@ def _merged(events: DataFrame, config: StreamConfig) -> DataFrame:
     return events if config.enriched_files is None else events.repartition(config.enriched_files)
 
 
-def _write_enriched(config: StreamConfig) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
+def _written(summary: BatchSummary, counts: dict[str, int]) -> Written:
+    return Written(summary.date, summary.hour, counts)
+
+
+def _counting(batch: DataFrame, *stages: str) -> tuple[DataFrame, Observation]:
+    """The batch with its records, and the defects of each stage, counted by whatever runs over all of it."""
+    seen = Observation()
+    return batch.observe(seen, F.count("*").alias("records"), *[F.count_if(F.col("stage") == stage).alias(stage) for stage in stages]), seen
+
+
+def _write_enriched(config: StreamConfig) -> Callable[[DataFrame, int], Written | None]:
+    def write(batch: DataFrame, batch_id: int) -> Written | None:
         summary = glance(batch)
-        if summary.rows:
-            config.enriched.write(_merged(batch, config), batch_id, summary)
+        if not summary.rows:
+            return None
+        counted, seen = _counting(batch)
+        config.enriched.write(_merged(counted, config), batch_id, summary)
+        return _written(summary, seen.get)
 
     return write
 
 
-def _write_enriched_and_quarantine(config: StreamConfig) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
+def _write_enriched_and_quarantine(config: StreamConfig) -> Callable[[DataFrame, int], Written | None]:
+    def write(batch: DataFrame, batch_id: int) -> Written | None:
         # Defects are counted while the events are written, and only a batch with any is decoded again:
         # the events of a backlog are never kept, neither in memory nor on local disks.
         summary = glance(batch)
         if not summary.rows:
-            return
-        seen = Observation()
-        counted = batch.observe(seen, F.count_if(is_defective()).alias("defects"))
+            return None
+        counted, seen = _counting(batch, *STAGES)
         events = keep_rows(counted, is_accepted(), ENRICHED_COLUMNS)
         config.enriched.write(_merged(events, config), batch_id, summary)
-        if seen.get["defects"]:
+        if any(seen.get[stage] for stage in STAGES):
             config.quarantined.write(keep_rows(batch, is_defective(), QUARANTINE_COLUMNS), batch_id, summary)
+        return _written(summary, seen.get)
 
     return write
 
 
-def _write_totals_and_alerts(config: StreamConfig) -> Callable[[DataFrame, int], None]:
-    def write(batch: DataFrame, batch_id: int) -> None:
+def _write_totals_and_alerts(config: StreamConfig) -> Callable[[DataFrame, int], Written | None]:
+    def write(batch: DataFrame, batch_id: int) -> Written | None:
         # without this every action would run the stateful aggregation again
         batch.persist()
         try:
             summary = summarize(batch)
-            if summary.rows:
-                config.totals.write(batch, batch_id, summary, config.totals_files)
-                alerts = find_alerts(batch, config.rules)
-                if not alerts.isEmpty():
-                    config.alerts.write(alerts, batch_id, summary, config.totals_files)
+            if not summary.rows:
+                return None
+            config.totals.write(batch, batch_id, summary, config.totals_files)
+            alerts = find_alerts(batch, config.rules)
+            if not alerts.isEmpty():
+                config.alerts.write(alerts, batch_id, summary, config.totals_files)
+            return _written(summary, {"totals": summary.rows})
         finally:
             batch.unpersist()
 
@@ -154,26 +184,62 @@ def start_enriched(records: DataFrame, config: StreamConfig) -> StreamingQuery:
         stamp(stream)
         .writeStream.queryName("enriched")
         .outputMode("append")
-        .foreachBatch(write)
+        .foreachBatch(once(config.ledger("enriched"), write, stream_of))
         .trigger(**config.trigger)
         .option("checkpointLocation", f"{config.checkpoint_root}/enriched")
         .start()
     )
 
 
+def _start_totals(totals: DataFrame, config: StreamConfig, name: str) -> StreamingQuery:
+    return (
+        stamp(flat_totals(totals))
+        .writeStream.queryName(name)
+        .outputMode("update")
+        .foreachBatch(once(config.ledger("totals"), _write_totals_and_alerts(config), stream_of))
+        .trigger(**config.trigger)
+        .option("checkpointLocation", f"{config.checkpoint_root}/{name}")
+        .start()
+    )
+
+
 def start_totals(records: DataFrame, config: StreamConfig) -> StreamingQuery:
     _check_zone(records)
+    return _start_totals(totals_stream(records, config), config, "totals")
+
+
+def start_events(records: DataFrame, config: StreamConfig) -> StreamingQuery:
+    """Decode records once into the event log, which any number of streams and readers take up."""
+    _check_zone(records)
+    rows = EventLog.rows(stamp(_classified(records, config)), config.quarantine)
     return (
-        stamp(flat_totals(totals_stream(records, config)))
-        .writeStream.queryName("totals")
-        .outputMode("update")
-        .foreachBatch(_write_totals_and_alerts(config))
+        rows.writeStream.queryName("events")
+        .outputMode("append")
+        .format("parquet")
+        .partitionBy(*EventLog.FOLDERS)
         .trigger(**config.trigger)
-        .option("checkpointLocation", f"{config.checkpoint_root}/totals")
+        .option("checkpointLocation", f"{config.checkpoint_root}/events")
+        .option("path", config.events.root)
         .start()
     )
 
 
+def start_event_totals(spark: SparkSession, config: StreamConfig) -> StreamingQuery:
+    """The totals query over the event log instead of a topic: nothing is decoded again."""
+    events = config.events.stream(spark)
+    _check_zone(events)
+    watermarked = with_watermark(events.select(*TOTALS_INPUT), config.watermark_delay)
+    return _start_totals(window_totals(watermarked, config.window_length), config, "event-totals")
+
+
+def start_chained(records: DataFrame, config: StreamConfig) -> tuple[StreamingQuery, StreamingQuery]:
+    """Event log and totals, with each record read and decoded once. Under ``availableNow`` the log is written to its end first."""
+    events = start_events(records, config)
+    if "availableNow" in config.trigger:
+        events.awaitTermination()
+    return events, start_event_totals(records.sparkSession, config)
+
+
 def start_all(records: DataFrame, config: StreamConfig) -> tuple[StreamingQuery, StreamingQuery]:
     """Both queries over one source; each reads it with its own offsets."""
     return start_enriched(records, config), start_totals(records, config)
