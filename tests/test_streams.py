@@ -18,8 +18,9 @@ from tillwatch.sinks.batches import STAMP, BatchFolders, glance, stamp
 from tillwatch.sinks.ledger import ALL
 from tillwatch.sources.files import append_records, read_records, stream_records
 from tillwatch.sources.tables import read_orders
-from tillwatch.streaming import produce, run
+from tillwatch.streaming import merge, produce, run
 from tillwatch.streaming.jobs import StreamConfig, await_any, start_all, start_enriched, start_totals
+from tillwatch.streaming.monitor import BatchProgress, batch_progress, late_events
 
 
 def text(minute: int, second: int) -> str:
@@ -263,6 +264,16 @@ def test_command_lines(spark, sf_dir, tmp_path, monkeypatch):
     assert config.enriched.read(spark, ENRICHED_SCHEMA).count() == 1500
     assert latest_totals(config.totals.read(spark, TOTALS_SCHEMA)).count() == 8
     assert {row.rule for row in config.alerts.read(spark, ALERT_SCHEMA).collect()} == {"payment_failures", "refund_volume"}
+    monkeypatch.setattr(merge, "build_session", lambda *args, **conf: spark)
+    merges = ["--output", f"{tmp_path}/out", "--before", "9999-12-31 23"]
+    assert [merge.main(merges), merge.main([*merges, "--remove"]), merge.main(["--output", f"{tmp_path}/out"])] == [1, 0, 0]
+    assert config.enriched.read(spark, ENRICHED_SCHEMA).count() == 1500
+    chained = ["--replay", files, "--output", f"{tmp_path}/out2", "--checkpoint", f"{tmp_path}/c2", "--once", "--chained", "--lineage", "l", "--continues"]
+    run.main(chained)
+    config = run.config_of(run.parser().parse_args(chained))
+    assert (config.lineage, config.continues) == ("l", True)
+    assert config.events.enriched(spark).count() == 1500
+    assert latest_totals(config.totals.read(spark, TOTALS_SCHEMA)).count() == 8
     append_records(read_records(spark, files), f"{tmp_path}/copy")
     assert read_records(spark, f"{tmp_path}/copy").count() == 1500
 
@@ -329,3 +340,20 @@ def test_produce_follows_a_growing_table(spark, sf_dir, tmp_path, monkeypatch):
     for _ in range(2):
         produce.main(arguments)
     assert read_records(spark, f"{tmp_path}/records").count() == 1500
+
+
+def test_late_events_are_counted_per_batch(spark, topic, config, tmp_path):
+    """However many tasks read them, unlike the stream's own figure."""
+    topic.add(payment(text(0, 1)))
+    topic.add(payment(text(5, 0)), payment("garbage"))
+    topic.add(payment(text(0, 2)))  # still counted
+    topic.add(*[payment(text(0, s)) for s in range(7)], payment(text(4, 58)), b"no record")
+    topic.add(payment(text(0, 3)))  # nothing else in this batch
+    listener = BatchProgress(spark, f"{tmp_path}/progress")
+    spark.streams.addListener(listener)
+    try:
+        listener.wait_for(run_totals(spark, topic, config))
+    finally:
+        spark.streams.removeListener(listener)
+    found = late_events(config.totals.read(spark, TOTALS_SCHEMA), batch_progress(spark, listener.path)).orderBy("batch_id").collect()
+    assert [(row.records, row.events, row.timed, row.late) for row in found] == [(1, 1, 1, 0), (2, 2, 1, 0), (1, 1, 1, 0), (9, 8, 8, 7), (1, 1, 1, 1)]

@@ -232,6 +232,10 @@ SELECT 'records' AS counted, count(*) AS n FROM faulty
 UNION ALL
 SELECT counted, count(faulty.k) AS n FROM (VALUES ('frame'), ('utf8'), ('json'), ('schema'), ('parse'), ('time')) AS t(counted)
 LEFT JOIN faulty ON stage = counted GROUP BY counted""",
+        "stream_late_counts": f"""WITH {LOG}, {_LATE}, sizes AS (SELECT count(*) AS n FROM log)
+SELECT 0::INTEGER AS arrival, n AS records, n AS timed, 0::BIGINT AS late FROM sizes
+UNION ALL
+SELECT 1 AS arrival, n AS records, n AS timed, 2 * n - (SELECT count(*) FROM arrivals) AS late FROM sizes""",
         "awaited_failure": "SELECT 'failing' AS query, count(*) AS records, TRUE AS other_runs FROM orders",
         "stream_late_enriched": f"{_ENRICHED}\nUNION ALL\nSELECT {ENRICHED_FIELDS} FROM log",
     }

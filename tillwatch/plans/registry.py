@@ -57,6 +57,7 @@ _QUERIES: tuple[Query, ...] = (
     stream.merged_hours,
     stream.stream_batch_counts,
     stream.awaited_failure,
+    stream.stream_late_counts,
 )
 
 

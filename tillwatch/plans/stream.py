@@ -12,6 +12,7 @@ from dataclasses import replace
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
 from tillwatch.contract import ALERT_SCHEMA, ENRICHED_SCHEMA, QUARANTINE_SCHEMA, TOTALS_SCHEMA
@@ -23,6 +24,7 @@ from tillwatch.session import work_dir
 from tillwatch.sources.files import append_records, stream_records
 from tillwatch.sources.tables import read_orders, stream_orders
 from tillwatch.streaming.jobs import StreamConfig, await_any, start_all, start_chained, start_enriched, start_events, start_totals
+from tillwatch.streaming.monitor import BatchProgress, batch_progress, late_events
 
 
 def one_pass_config(spark: SparkSession, label: str) -> StreamConfig:
@@ -264,3 +266,23 @@ def awaited_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
         totals.stop()
         spark.streams.resetTerminated()
     return spark.createDataFrame([("failing", int(behind), running)], "query string, records long, other_runs boolean")
+
+
+def stream_late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records and late events of each batch of the totals, from its progress: all orders arrive twice."""
+    config = one_pass_config(spark, "late-counts")
+    listener = BatchProgress(spark, f"{config.output_root}/progress")
+    spark.streams.addListener(listener)
+
+    def start(records: DataFrame, config: StreamConfig) -> StreamingQuery:
+        query = start_totals(records, config)
+        query.awaitTermination()
+        listener.wait_for(query)
+        return query
+
+    try:
+        _arrive_twice(spark, sf_dir, start, config)
+    finally:
+        spark.streams.removeListener(listener)
+    found = late_events(config.totals.read(spark, TOTALS_SCHEMA), batch_progress(spark, listener.path))
+    return _arrival_of(found.select("batch_id", "records", "timed", "late"))

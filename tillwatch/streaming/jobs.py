@@ -28,6 +28,7 @@ from tillwatch.session import UTC_ZONES
 from tillwatch.sinks.batches import BatchFolders, BatchSummary, glance, stamp, stream_of, summarize
 from tillwatch.sinks.events import EventLog
 from tillwatch.sinks.ledger import MAIN, Ledger, Written, once
+from tillwatch.streaming.monitor import INTAKE
 
 
 @dataclass(frozen=True)
@@ -95,8 +96,13 @@ def enriched_stream(records: DataFrame, config: StreamConfig) -> DataFrame:
 
 def totals_stream(records: DataFrame, config: StreamConfig) -> DataFrame:
     """Running window totals; events of a closed window are left out."""
-    events = accepted_events(_classified(records, config), TOTALS_INPUT)
-    return window_totals(with_watermark(events, config.watermark_delay), config.window_length)
+    return _totals_of(accepted_events(_classified(records, config), TOTALS_INPUT), config)
+
+
+def _totals_of(events: DataFrame, config: StreamConfig) -> DataFrame:
+    """Window totals of events; how many came in, and with a time, is in the progress of each batch."""
+    taken = events.observe(INTAKE, F.count("*").alias("events"), F.count("event_time").alias("timed"))
+    return window_totals(with_watermark(taken, config.watermark_delay), config.window_length)
 
 
 def _merged(events: DataFrame, config: StreamConfig) -> DataFrame:
@@ -228,8 +234,7 @@ def start_event_totals(spark: SparkSession, config: StreamConfig) -> StreamingQu
     """The totals query over the event log instead of a topic: nothing is decoded again."""
     events = config.events.stream(spark)
     _check_zone(events)
-    watermarked = with_watermark(events.select(*TOTALS_INPUT), config.watermark_delay)
-    return _start_totals(window_totals(watermarked, config.window_length), config, "event-totals")
+    return _start_totals(_totals_of(events.select(*TOTALS_INPUT), config), config, "event-totals")
 
 
 def start_chained(records: DataFrame, config: StreamConfig) -> tuple[StreamingQuery, StreamingQuery]:

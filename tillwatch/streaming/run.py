@@ -22,9 +22,10 @@ from tillwatch.contract import (
 )
 from tillwatch.operators.alerts import with_limits
 from tillwatch.session import build_session
+from tillwatch.sinks.ledger import MAIN
 from tillwatch.sources.files import stream_records
 from tillwatch.sources.kafka import MAX_OFFSETS_PER_TRIGGER, MIN_PARTITIONS, KafkaSource
-from tillwatch.streaming.jobs import StreamConfig, await_any, start_all
+from tillwatch.streaming.jobs import StreamConfig, await_any, start_all, start_chained
 
 
 # A window holds a handful of groups, and each part of the state commits at each trigger.
@@ -69,6 +70,11 @@ def parser() -> argparse.ArgumentParser:
     args.add_argument("--alert-count", type=int, default=ALERT_MIN_COUNT)
     args.add_argument("--alert-amount", type=float, default=ALERT_EXACT_AMOUNT)
     args.add_argument("--max-ahead", help="longest time that an event may lie ahead of its record, e.g. '1 hour'")
+    args.add_argument("--lineage", default=MAIN, help="name of the results that a new checkpoint over an old output belongs to")
+    args.add_argument(
+        "--continues", action="store_true", help="a new checkpoint goes on behind the records of the one before it, instead of replacing its results"
+    )
+    args.add_argument("--chained", action="store_true", help="decode once into an event log in Parquet, and total that; instead of the enriched files")
     args.add_argument("--totals-files", type=int, default=1, help="files per batch of totals and of alerts")
     args.add_argument(
         "--shuffle-partitions", type=int, default=STATE_PARTITIONS, help="parts of the state; fixed for good by the first start"
@@ -90,6 +96,8 @@ def config_of(args: argparse.Namespace) -> StreamConfig:
         enriched_files=args.enriched_files,
         totals_files=args.totals_files,
         max_ahead=args.max_ahead,
+        lineage=args.lineage,
+        continues=args.continues,
     )
 
 
@@ -111,7 +119,8 @@ def records_of(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session("tillwatch", streaming=True, spark__sql__shuffle__partitions=str(args.shuffle_partitions))
-    queries = start_all(records_of(spark, args), config_of(args))
+    start = start_chained if args.chained else start_all
+    queries = start(records_of(spark, args), config_of(args))
     if args.once:
         for query in queries:
             query.awaitTermination()
