@@ -1,6 +1,7 @@
 """Operators that work text by text, against brute force and held-out rows."""
 
 import re
+import time
 import zlib
 
 import numpy as np
@@ -261,6 +262,60 @@ def test_pages_with_open_ends(old, new):
     assert old in PAGE and html_main.main_blocks(PAGE.replace(old, new)) == html_main.main_blocks(PAGE) != []
 
 
+PARAGRAPHS = [f"Paragraph {k} of the article, with enough text in it to be taken for the main thing on any page." for k in range(8)]
+
+
+def page_of(body):
+    return f"<html><body><div><p>A blurb outside that is a line of some length, though not the article itself.</p></div>{body}</body></html>"
+
+
+@pytest.mark.parametrize("name", ["post hentry tag-python", "post tag python", "layout has-sidebar", "no-sidebar", "with-ads", "comment-free", "category-x tags-y"])
+def test_containers_with_misleading_names(name):
+    body = "".join(f"<p>{text}</p>" for text in PARAGRAPHS)
+    assert html_main.main_blocks(page_of(f'<div class="{name}">{body}</div>')) == PARAGRAPHS
+    # what such a name means elsewhere is left out all the same
+    rest = f'<div class="{name}">A short aside with a misleading name, of a line or so, that is none of the article.</div>'
+    assert html_main.main_blocks(page_of(f"<div>{body}</div>{rest}")) == PARAGRAPHS
+
+
+@pytest.mark.parametrize("name", ["comments", "post-comments", "comment-list", "share-buttons", "cookie-notice", "related-posts", "sidebar", "ad", "newsletter-signup"])
+def test_what_surely_surrounds_an_article_may_be_the_longer_text(name):
+    body = "".join(f"<p>{text}</p>" for text in PARAGRAPHS)
+    assert html_main.main_blocks(f'<body><article><p>{PARAGRAPHS[0]}</p></article><div class="{name}">{body}</div></body>') == PARAGRAPHS[:1]
+    assert html_main.main_blocks(f'<body><div><p>{PARAGRAPHS[0]}</p></div><div class="{name}">{body}</div></body>') == PARAGRAPHS[:1]
+
+
+def test_end_tags_left_out():
+    body = "".join(f"<p>{text}" for text in PARAGRAPHS)
+    assert html_main.main_blocks(page_of(f"<article><ul><li class=tags>python<li>An item</ul>{body}</article>")) == ["An item", *PARAGRAPHS]
+    assert html_main.main_blocks(page_of(f"<article><ul><li class=tags>python <ul><li>deep</ul><li>An item</ul>{body}</article>")) == ["An item", *PARAGRAPHS]
+    assert html_main.main_blocks(page_of(f"<article><p class=share>Share this{body}</article>")) == PARAGRAPHS
+    assert html_main.main_blocks(page_of(f"<article><table><tr><td class=ad>Buy<td>A cell</table>{body}</article>")) == ["A cell", *PARAGRAPHS]
+    assert html_main.main_blocks(page_of(f"<article>{body}<div class=ad>Buy<p>more</article><p>{'after it ' * 20}")) == PARAGRAPHS
+
+
+def test_parts_of_one_article():
+    half = "".join(f"<p>{text}</p>" for text in PARAGRAPHS[:4]), "".join(f"<p>{text}</p>" for text in PARAGRAPHS[4:])
+    gallery = [f"Picture {k}" for k in range(6)]
+    links = "".join(f"<p><a href=/{k}>{text}</a></p>" for k, text in enumerate(gallery))
+    found = html_main.main_blocks(page_of(f"<article><section>{half[0]}</section><div>{links}</div><section>{half[1]}</section></article>"))
+    assert found == PARAGRAPHS[:4] + gallery + PARAGRAPHS[4:]
+
+
+def test_a_heading_of_its_own():
+    body = "".join(f"<p>{text}</p>" for text in PARAGRAPHS)
+    assert html_main.main_blocks(f"<body><div class=ad>Buy</div><div><h1>Head</h1></div><div class=x>{body}</div></body>") == ["Head", *PARAGRAPHS]
+
+
+@pytest.mark.parametrize("tag", ["iframe src=x", "select", "svg", "noscript", "template", "title", "script", "style", "textarea", "div class=ad", "p class=share", "li class=tags", "div class=tag-x", "a", "!--", "form", "table"])
+@pytest.mark.parametrize("text", ["", " a few words "])
+def test_long_pages_of_one_tag_that_is_never_closed(tag, text):
+    html = f"<{tag}>{text}" * (1_000_000 // (len(tag) + len(text) + 2))
+    begin = time.perf_counter()
+    html_main.main_blocks(html)
+    assert time.perf_counter() - begin < 20
+
+
 def test_a_page_in_one_form_is_read():
     assert html_main.main_blocks("<body><form id=all>" + PAGE.split('<div id="content">')[1].split("</div>")[0] + "</form>")[-1] == "End."
 
