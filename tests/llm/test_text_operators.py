@@ -1,5 +1,7 @@
 """Operators that work text by text, against brute force and held-out rows."""
 
+import itertools
+import random
 import re
 import time
 import zlib
@@ -371,6 +373,43 @@ def test_encoding_equals_the_library_and_decodes_back(spark, pieces):
     assert piece_lattice.encode(rows.limit(0), pieces, ["k"]).isEmpty()
 
 
+def test_merges_of_many_words_equal_those_of_one(pieces):
+    """The arrays against the plain rule, on words of the vocabulary's own parts, on ties of scores, and without any pair."""
+    rows = piece_lattice._rows(pieces)
+    scores = {piece: (number, score) for number, piece, score, byte in rows if byte is None}
+    draw = random.Random(10)
+    some = draw.sample(sorted(scores), 3000)
+    words = ["".join(draw.choices(some, k=draw.randrange(1, 5))) for _ in range(4000)] + ["a", "aaaaaaaaaaaaaaaa", "▁", "▁▁▁▁", "\n", "🧿", "a🧿"]
+    words = list(dict.fromkeys(words))
+    found = piece_lattice.MergeTable(rows).encode(words)
+    assert len(found) > 3500 and "🧿" not in found and "a🧿" not in found
+    for word, ids in found.items():
+        cuts = piece_lattice.merged_path(word, scores)
+        assert np.frombuffer(ids, "<i4").tolist() == [scores[word[low:high]][0] for low, high in zip(cuts, cuts[1:])]
+    ties = [(k, piece, score, None) for k, (piece, score) in enumerate({"a": -9.0, "b": -9.0, "c": -9.0, "ab": -1.0, "bc": -1.0, "abc": -2.0, "ca": -1.0}.items())]
+    scores = {piece: (number, score) for number, piece, score, _ in ties}
+    words = ["".join(word) for n in range(1, 7) for word in itertools.product("abc", repeat=n)]
+    for table, kept in ((ties, words), (ties[:3], words), (ties[3:4], [])):
+        found = piece_lattice.MergeTable(table).encode(words)
+        assert list(found) == kept
+        for word, ids in found.items():
+            cuts = piece_lattice.merged_path(word, {piece: scores[piece] for _, piece, _, _ in table})
+            assert np.frombuffer(ids, "<i4").tolist() == [scores[word[low:high]][0] for low, high in zip(cuts, cuts[1:])]
+    assert piece_lattice.MergeTable(ties).encode([]) == {}
+
+
+def test_turns_of_the_table_equal_the_library(spark, sf_dir):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_lattice.model_path(None))
+    texts = {(row.conv_id, row.turn): row.text for row in table(spark, sf_dir, "conversations").collect()}
+    found = queries.op6_sentencepiece_turns(spark, sf_dir).collect()
+    assert len(found) == len(texts)
+    for row in found:
+        ids = model.encode(texts[row.conv_id, row.turn])
+        assert (row.ids, row.n_pieces, row.decoded) == (ids, len(ids), model.decode(ids))
+
+
 def test_viterbi_equals_every_path(spark):
     """A unigram model of a few pieces, against all segmentations."""
     scores = {"▁": -4.0, "a": -3.0, "b": -3.5, "▁a": -5.0, "ab": -4.0, "ba": -4.5, "▁ab": -6.5, "aab": -7.0, "▁ba": -7.0}
