@@ -218,6 +218,87 @@ def test_no_close_text_is_passed_over():
                 assert not index.anchors.isdisjoint(part)
 
 
+def brute_windows(index, words):
+    """Every window of every template, telling word or not, by its bag of words."""
+    found = set()
+    for template, sizes in enumerate(index.sizes):
+        for size in sizes:
+            for end in range(1, len(words) + size):
+                start, stop = max(0, end - size), min(end, len(words))
+                bag = licenses.Counter(words[start:stop])
+                weights = {word: count * index.idf.get(word, index.unseen) for word, count in bag.items()}
+                dot = sum(weight * dict(index.postings.get(word, ())).get(template, 0.0) for word, weight in weights.items())
+                cosine = round(min(1.0, dot / sum(weight**2 for weight in weights.values()) ** 0.5), licenses.DIGITS)
+                if cosine >= index.min_cosine:
+                    found.add((cosine, template, start, stop))
+    return found
+
+
+def test_all_word_windows_equal_brute_force():
+    draw = np.random.default_rng(1)
+    notices = [text for group in licenses.TEMPLATES.values() for text in group]
+    terms = sorted({term for text in notices for term in licenses.terms_of(text)})
+    for _ in range(12):
+        index = licenses.TemplateIndex(licenses.TEMPLATES, {term: int(draw.integers(0, 1000)) for term in terms}, 1000, 0.6)
+        words = []
+        for _ in range(4):
+            words += ["zzz", *draw.choice(["noise", "license", "the", "qqq"], int(draw.integers(0, 60))).tolist()]
+            words += [word for word in licenses.terms_of(str(draw.choice(notices))) if draw.random() < 0.9]
+        words += ["far"] * 200 * int(draw.integers(0, 2)) + licenses.terms_of(str(draw.choice(notices)))[:10]
+        found = index.windows(words)
+        assert len(found) > 3 and set(found) == brute_windows(index, words)
+        for _, _, start, end in (notices_of := index.notices(words)):
+            assert sum(a < end and start < b for _, _, a, b in notices_of) == 1
+
+
+def test_notices_wherever_lines_break():
+    index = licenses.TemplateIndex(licenses.TEMPLATES, {}, 100, 0.6)
+    gpl = licenses.TEMPLATES["GPL-3.0"][0]
+    for width in (1, 2, 3, 5):
+        words = gpl.split()
+        wrapped = "\n".join("# " + " ".join(words[k : k + width]) for k in range(0, len(words), width))
+        assert index.scan(wrapped)[:3] == (1.0, "GPL-3.0", ["GPL-3.0"])
+    mit = licenses.TEMPLATES["MIT"][0]
+    line = " ".join(f"word{k}" for k in range(40))
+    assert index.scan(f"{line} {mit} {line}")[:3] == (1.0, "MIT", ["MIT"])
+    assert index.scan(f"{line} {mit} {line}\n{gpl}.\nAll rights reserved. {line}")[2] == ["GPL-3.0", "MIT"]
+    cut = " ".join(licenses.TEMPLATES["MIT"][2].split()[:22])
+    assert index.scan(f"{line} {cut} {line}")[1] == "MIT"
+    assert index.scan(None) == index.scan("") == index.scan(line) == (0.0, "", [], 0.0, "")
+
+
+def test_notices_of_very_long_texts():
+    """A megabyte of telling words, and of one notice again and again, in seconds."""
+    index = licenses.TemplateIndex(licenses.TEMPLATES, {}, 100, 0.6)
+    started = time.monotonic()
+    assert index.scan("license " * 125_000)[2] == []
+    assert index.scan("Released under the MIT License. " * 32_000)[:3] == (1.0, "MIT", ["MIT"])
+    assert time.monotonic() - started < 40
+
+
+def test_inheritance_over_the_table_equals_brute_force(spark, sf_dir):
+    rows = queries.op2_license_scan(spark, sf_dir).collect()
+    assert len(rows) == table(spark, sf_dir, "documents").count()
+    files = {}
+    for row in rows:
+        if row.origin == "header" and row.path.rsplit("/", 1)[-1].startswith("LICENSE"):
+            folder = row.path.rpartition("/")[0]
+            files.setdefault(folder, []).append(row)
+    inherited = 0
+    for row in rows:
+        if row.origin == "header":
+            assert row.origin_path == row.path
+            continue
+        parts = row.path.split("/")[:-1]
+        above = next((files["/".join(parts[:n])] for n in range(len(parts), -1, -1) if "/".join(parts[:n]) in files), None)
+        assert (row.license is None) == (above is None)
+        if above:
+            inherited += 1
+            first = min(above, key=lambda file: (-file.score, file.path))
+            assert (row.license, row.origin, row.origin_path, row.licenses) == (first.license, "directory", first.path, first.licenses)
+    assert inherited
+
+
 def test_licences_of_deep_directories(spark):
     deep = "/".join(["d"] * 40)
     rows = [(1, f"{deep}/x/LICENSE", "Released under the MIT License."), (2, f"{deep}/y/COPYING", "Released under the ISC License"), (3, f"/{deep}//x/z/f", ""), (4, f"{deep}/y/f", ""), (5, f"{deep}/f", "")]
@@ -232,7 +313,9 @@ def test_reserved_rights_are_a_licence(spark):
     texts = {row.doc_id: row.text or "" for row in table(spark, sf_dir, "documents").collect()}
     assert any("All rights reserved" in text for text in texts.values())
     for row in queries.op2_license_scan(spark, sf_dir).collect():
-        assert row.license == next((name for words, name in names.items() if words in texts[row.doc_id]), None)
+        planted = next((name for words, name in names.items() if words in texts[row.doc_id]), None)
+        assert (row.license if row.origin == "header" else None) == planted
+        assert planted is None or row.licenses == [planted]
     rows = [(1, "a", "All rights reserved.\n" + licenses.TEMPLATES["BSD-3-Clause"][1][:250])]
     assert licenses.scan_licenses(spark.createDataFrame(rows, "doc_id int, path string, text string")).first().license == "BSD-3-Clause"
 
