@@ -1,6 +1,7 @@
 """Operators that work text by text, against brute force and held-out rows."""
 
 import itertools
+import json
 import random
 import re
 import time
@@ -604,3 +605,55 @@ def test_ids_equal_the_library_for_any_text():
     for _ in range(3000):
         text = "".join(draw.choice(letters, draw.integers(0, 14)))
         assert encoder.encode(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        {"normalizer": {"type": "Lowercase"}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}},
+        {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}},
+        {"pre_tokenizer": {"type": "Whitespace"}},
+        {"ignore_merges": True},
+        {"truncation": {"direction": "Right", "max_length": 2, "strategy": "LongestFirst", "stride": 0}},
+        {"padding": {"strategy": {"Fixed": 40}, "direction": "Right", "pad_to_multiple_of": None, "pad_id": 0, "pad_type_id": 0, "pad_token": "!"}},
+    ],
+    ids=["normalizer", "prefix", "regex", "split", "merges", "truncation", "padding"],
+)
+def test_ids_equal_the_library_for_other_files(tmp_path, change):
+    """A file that does more than split, take bytes and merge goes through the library; a whole text is encoded whatever its limits."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        settings = json.load(file)
+    path = tmp_path / "changed.json"
+    for key, value in change.items():
+        (settings["model"] if key in settings["model"] else settings)[key] = value
+    path.write_text(json.dumps(settings), encoding="utf-8")
+    encoder = packing.Encoder(str(path))
+    whole = Tokenizer.from_file(str(path))
+    whole.no_truncation()
+    whole.no_padding()
+    assert (encoder.fast is not None) == (change.keys() <= {"truncation", "padding"})
+    for text in ("Hello World, THIS is some Text", "", " x", "a  b\n\nC's", "superfluousness of antidisestablishment " * 20):
+        ids = encoder.encode(text)
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+        encoder.sentence_ends(ids)
+
+
+def test_languages_beside_other_columns_and_beyond_the_most(spark, monkeypatch):
+    network = language.train([("en", "word"), ("fr", "été"), ("en", "other"), ("fr", "même")], steps=5)
+    frame = spark.createDataFrame([(1, "some words", "kept", "x", "old")], "doc_id int, text string, _language string, __language string, lang_pred string")
+    found = language.identify(frame, network)
+    assert found.columns == ["doc_id", "text", "_language", "__language", "lang_pred", "score"]
+    (row,) = found.collect()
+    assert (row._language, row["__language"], row.lang_pred in ("en", "fr")) == ("kept", "x", True)
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    sizes = {"de": 9, "en": 30, "fr": 9, "it": 6}
+    rows = [(k, f"words of {lang}", lang) for k, lang in enumerate(lang for lang, n in sizes.items() for _ in range(n))]
+    held = [row for row in rows if zlib.crc32(str(row[0]).encode()) % 3 != 1]
+    counts = {lang: sum(row[2] == lang for row in held) for lang in sizes}
+    most = sorted(sizes, key=lambda lang: (-counts[lang], lang))[:2]
+    units = language.training_units(spark.createDataFrame(rows, "doc_id int, text string, lang string"))
+    assert {lang for lang, _ in units} == set(most)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillwatch.llm.common import learnable
+from tillwatch.llm.common import free_prefix, learnable
 
 UNKNOWN = "und"
 HIDDEN = 12
@@ -233,12 +233,13 @@ class Reader:
 
 
 def training_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """The bounded sample: DOCS_PER_LANGUAGE documents of each language by the hash of their id, UNITS_PER_DOC units spread over each."""
+    """The bounded sample: DOCS_PER_LANGUAGE documents of each language by the hash of their id, UNITS_PER_DOC units spread over each.
+
+    Of more than MAX_LANGUAGES languages, those with the most documents are learned, the first by name of equals.
+    """
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.where(learnable("id") & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count_distinct("id").alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"the network is meant for up to {MAX_LANGUAGES} languages")
+    sizes = rows.groupBy("lang").agg(F.count_distinct("id").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
     # Every row is drawn or not by the hash of its id, at a rate that gives each language somewhat more ids than are taken;
     # so what meets in a task to be ordered is bounded as well.
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / float(1 << 30)
@@ -284,8 +285,9 @@ def identify(docs: DataFrame, network: ByteNetwork | None, text_col: str = "text
                 found = reader.predict(batch.to_list())
             yield pd.DataFrame({"lang_pred": pd.Series(found[0], dtype=object), "score": pd.Series(found[1], dtype="float64")})
 
-    out = docs.drop("lang_pred", "score").withColumn("_language", predict(F.col(text_col)))
-    return out.select(*[F.col(f"`{name}`") for name in out.columns if name != "_language"], "_language.lang_pred", "_language.score")
+    found = f"{free_prefix(docs)}language"
+    kept = [F.col(f"`{name}`") for name in docs.columns if name not in ("lang_pred", "score")]
+    return docs.withColumn(found, predict(F.col(text_col))).select(*kept, f"{found}.lang_pred", f"{found}.score")
 
 
 def language_spans(docs: DataFrame, network: ByteNetwork, text_col: str = "text", name: str = "language_spans") -> DataFrame:

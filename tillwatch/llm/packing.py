@@ -41,10 +41,19 @@ def _byte_of() -> dict[str, int]:
     return {chr(byte): byte for byte in printable} | {chr(256 + k): byte for k, byte in enumerate(hidden)}
 
 
+def _plain(settings: dict) -> bool:
+    """Whether a tokenizer file does nothing but split as ``_SPLIT`` does, take bytes and merge them."""
+    split, model = settings.get("pre_tokenizer") or {}, settings["model"]
+    if settings.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space", True) or not split.get("use_regex", True):
+        return False
+    options = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    return model.get("type") == "BPE" and not any(model.get(option) for option in options)
+
+
 class Encoder:
-    """Ids that the tokenizers library gives with a byte-level BPE file, without special tokens around them.
+    """Ids that the tokenizers library gives with the whole of a text, without special tokens around them.
 
-    If the merges of the file are in the order of the ids, they run in tiktoken, which gives the same
+    If the file is a plain byte-level BPE and its merges are in the order of the ids, they run in tiktoken, which gives the same
     ids several times faster; otherwise, and for a text with an added token in it, tokenizers runs itself.
     ``path`` None finds the public vocabulary byte_bpe_50k.json where the worker runs.
     """
@@ -61,12 +70,19 @@ class Encoder:
         with open(path, encoding="utf-8") as file:
             settings = json.load(file)
         self.tokenizer = Tokenizer.from_file(str(path))
+        # The file may ask for a part of a text, or for more than it.
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         self.added = [token["content"] for token in settings["added_tokens"]]
-        letters, vocab, merges = _byte_of(), settings["model"]["vocab"], settings["model"]["merges"]
-        pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in merges]
-        made = [vocab["".join(pair)] for pair in pairs]
-        pieces = {bytes(map(letters.__getitem__, token)): rank for token, rank in vocab.items() if token not in self.added}
-        self.fast = tiktoken.Encoding("pieces", pat_str=_SPLIT, mergeable_ranks=pieces, special_tokens={}) if made == sorted(made) else None
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        letters, added = _byte_of(), set(self.added)
+        pieces = {bytes(map(letters.__getitem__, token)) if letters.keys() >= set(token) else token.encode(): rank for token, rank in vocab.items() if token not in added}
+        self.fast = None
+        if _plain(settings) and len(pieces) == len(vocab.keys() - added):
+            pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in settings["model"]["merges"]]
+            made = [vocab["".join(pair)] for pair in pairs]
+            if made == sorted(made):
+                self.fast = tiktoken.Encoding("pieces", pat_str=_SPLIT, mergeable_ranks=pieces, special_tokens={})
         size = self.tokenizer.get_vocab_size()
         self.closes, self.spaced, self.breaks = np.zeros(size, bool), np.zeros(size, bool), np.zeros(size, bool)
         for piece, rank in pieces.items():
