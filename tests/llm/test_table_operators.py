@@ -1,8 +1,10 @@
 """Operators over whole tables: shards, near-duplicates, embeddings, components, and the pipeline."""
 
+import bisect
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -85,6 +87,18 @@ def test_a_group_of_copies_is_split_and_small_ones_stay_together(spark):
     assert sum(len(shards) > 1 for shards in pairs.values()) <= 8
 
 
+def test_splitters_of_one_text_are_searched(spark):
+    """Ranges by halving equal those by comparing with every splitter, below, between and above many splitters of one prefix."""
+    keys = spark.range(4000).select(
+        F.when(F.col("id") % 3 == 0, F.xxhash64("id")).otherwise(7).alias("text_key"), F.xxhash64(F.col("id") % 50).alias("id_key"), (F.col("id") % 9).alias("doc_id"), F.col("id").alias("pos")
+    )
+    for share in (1, 2, 40, 5000):
+        splitters = keys.where(F.pmod(F.xxhash64("pos"), F.lit(share)) == 0).select(F.struct("text_key", "id_key", "doc_id", "pos").alias("splitter"))
+        every = sorted(tuple(row.splitter) for row in splitters.collect())
+        for row in sharding._ranges(keys, splitters).collect():
+            assert row.range == bisect.bisect_right(every, (row.text_key, row.id_key, row.doc_id, row.pos))
+
+
 def test_no_documents_no_shards(spark):
     assert sharding.op4_sampled_splitter_shards(spark.createDataFrame([], DOCS)).isEmpty()
     (only,) = sharding.op4_sampled_splitter_shards(spark.createDataFrame([(1, None, "en", "s", 0)], DOCS)).collect()
@@ -192,6 +206,32 @@ def test_embeddings_in_crowds(spark, monkeypatch):
     assert embed_dedup.near_duplicate_vectors(frame.limit(0)).isEmpty()
 
 
+def test_blocks_are_compared_some_rows_at_a_time(monkeypatch):
+    """Links and local components of one block and of two, however many rows are taken at once; pairs that met in an earlier table are left out."""
+    draw = np.random.default_rng(5)
+    centres = draw.normal(size=(12, 16))
+    vectors = (centres[draw.integers(0, 12, 300)] + draw.normal(scale=0.22, size=(300, 16))).astype(np.float32)
+    units = embed_dedup.unit_rows(vectors)
+    signs = embed_dedup._signs(units, embed_dedup._planes(16, 4, 6), 4)
+    assert all((embed_dedup._signs(units[k : k + 1], embed_dedup._planes(16, 4, 6), 4) == signs[k]).all() for k in range(300))
+    close = np.triu(units @ units.T >= 0.95, 1)
+    for one, other in ((0, 0), (0, 1)):
+        block = np.arange(300) % 2 if other else np.zeros(300, int)
+        columns = {"size": [16] * 300, "table": [2] * 300, "bucket": [0] * 300, "one": [one] * 300, "other": [other] * 300, "block": block.tolist()}
+        columns |= {"class_id": list(range(300)), "copies": [1] * 300, "embedding": vectors.tolist()}
+        batch = pa.RecordBatch.from_pydict(columns)
+        met = close & ~(signs[:, None, :2] == signs[None, :, :2]).any(axis=2)
+        if other:
+            met &= block[:, None] != block[None, :]
+        links = [tuple(x) for x in np.argwhere(met).tolist()]
+        roots = joined(range(300), links)
+        expected = {(k, sum(k in link for link in links), roots[k]) for link in links for k in link}
+        for rows in (7, 64, 1000):
+            monkeypatch.setattr(embed_dedup, "ROWS", rows)
+            (found,) = embed_dedup._compare(0.95, 4, 6)(iter([batch]))
+            assert expected and {tuple(row.values()) for row in found.to_pylist()} == expected
+
+
 # Pipeline.
 
 

@@ -17,9 +17,12 @@ from tillwatch.llm.components import connected_components
 MIN_COSINE = 0.95
 #: Chance that a pair of just this cosine meets in no table.
 MISS = 5e-4
-#: Buckets of evenly spread vectors hold about so many; those of more than BLOCK are compared block by block.
-BUCKET = 64
-BLOCK = 512
+#: Buckets of evenly spread vectors hold about so many; those of more than BLOCK are compared block by block, in a task so
+#: many rows at a time. A crowd of m vectors is sent m / BLOCK times, and a task holds two blocks. Larger buckets take fewer
+#: tables, and a vector is sent once a table, which costs about as much as some 500 cosines.
+BUCKET = 512
+BLOCK = 2048
+ROWS = 256
 SEED = 11
 
 
@@ -47,6 +50,17 @@ def _usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
+def _planes(size: int, bits: int, tables: int) -> np.ndarray:
+    """The hyperplanes of all tables for vectors of ``size`` components, in whole numbers; every task draws the same."""
+    return np.rint(np.random.default_rng([SEED, size]).normal(size=(size, bits * tables)) * (1 << 10))
+
+
+def _signs(units: np.ndarray, planes: np.ndarray, bits: int) -> np.ndarray:
+    """The bucket of each vector in each table. Products of whole numbers are exact, so any task finds the same in any company."""
+    above = np.rint(units * (1 << 20)) @ planes > 0
+    return (above.reshape(len(units), -1, bits) << np.arange(bits)).sum(axis=2, dtype=np.int32)
+
+
 def _signatures(bits: int, tables: int) -> Column:
     @F.pandas_udf("array<int>")
     def signatures(vectors: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -56,9 +70,8 @@ def _signatures(bits: int, tables: int) -> Column:
             sizes = batch.map(len)
             for size, part in batch.groupby(sizes):
                 if size not in planes:
-                    planes[size] = np.random.default_rng([SEED, size]).normal(size=(size, bits * tables))
-                above = unit_rows(np.stack(part.to_list())) @ planes[size] > 0
-                values = (above.reshape(len(part), tables, bits) << np.arange(bits)).sum(axis=2, dtype=np.int32)
+                    planes[size] = _planes(size, bits, tables)
+                values = _signs(unit_rows(np.stack(part.to_list())), planes[size], bits)
                 for at, row in zip(part.index, values, strict=True):
                     out[at] = row
             yield pd.Series(out, dtype=object)
@@ -98,32 +111,42 @@ def local_roots(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             return roots
 
 
-def _compare(min_cosine: float):
+def _compare(min_cosine: float, bits: int, tables: int):
     schema = pa.schema([("class_id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Compares the members of one or two blocks of a bucket; pairs that met in an earlier table were counted there."""
+        planes: dict[int, np.ndarray] = {}
         for group in _groups(batches, 5):
             if group.num_rows < 2:
                 continue
             group = group.combine_chunks()
-            table, one, other = (group[k][0].as_py() for k in ("table", "one", "other"))
+            size, table, one, other = (group[k][0].as_py() for k in ("size", "table", "one", "other"))
             block, ids, copies = (np.asarray(group[k]) for k in ("block", "class_id", "copies"))
-            vectors = unit_rows(_matrix(group["embedding"].chunk(0)))
-            signs = _matrix(group["signs"].chunk(0))
+            units = unit_rows(_matrix(group["embedding"].chunk(0)))
             rows, columns = np.flatnonzero(block == one), np.flatnonzero(block == other)
-            left, right = np.nonzero(vectors[rows] @ vectors[columns].T >= min_cosine)
-            left, right = rows[left], columns[right]
-            if one == other:
-                left, right = left[left < right], right[left < right]
-            fresh = ~(signs[left, :table] == signs[right, :table]).any(axis=1)
-            left, right = left[fresh], right[fresh]
-            if not len(left):
-                continue
-            links = np.zeros(len(ids), np.int64)
-            np.add.at(links, left, copies[right])
-            np.add.at(links, right, copies[left])
-            roots = local_roots(len(ids), left, right)
+            signs = None
+            links, roots = np.zeros(len(ids), np.int64), np.arange(len(ids))
+            for at in range(0, len(rows), ROWS):
+                part = rows[at : at + ROWS]
+                left, right = np.nonzero(units[part] @ units[columns].T >= min_cosine)
+                left, right = part[left], columns[right]
+                if one == other:
+                    left, right = left[left < right], right[left < right]
+                if not len(left):
+                    continue
+                if signs is None:
+                    if size not in planes:
+                        planes[size] = _planes(size, bits, tables)
+                    signs = _signs(units, planes[size][:, : bits * table], bits)
+                fresh = np.ones(len(left), bool)
+                for earlier in signs.T:
+                    fresh &= earlier[left] != earlier[right]
+                left, right = left[fresh], right[fresh]
+                np.add.at(links, left, copies[right])
+                np.add.at(links, right, copies[left])
+                # What is joined so far goes on as one link a member.
+                roots = local_roots(len(ids), np.append(left, np.arange(len(ids))), np.append(right, roots))
             found = links > 0
             yield pa.RecordBatch.from_arrays([pa.array(x[found]) for x in (ids, links, ids[roots])], schema=schema)
 
@@ -145,19 +168,21 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     classes = usable.groupBy("embedding").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
     classes = written(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
     bits, tables = table_sizes(classes.count(), min_cosine)
-    signed = written(classes.select("class_id", "copies", "embedding", _signatures(bits, tables).alias("signs")), "signs")
-
-    size = F.size("embedding").alias("size")
-    sizes = signed.select(size, F.posexplode("signs").alias("table", "bucket")).groupBy("size", "table", "bucket").count().where("count > 1")
-    members = signed.select("*", size, F.posexplode("signs").alias("table", "bucket")).join(sizes, ["size", "table", "bucket"])
+    signs = _signatures(bits, tables).alias("signs")
+    met_at = classes.select("class_id", F.size("embedding").alias("size"), signs).select("class_id", "size", F.posexplode("signs").alias("table", "bucket"))
+    # Only ids and keys are grouped and joined; the vector comes in once a class has a bucket with company.
+    met_at = written(met_at, "buckets")
+    sizes = met_at.groupBy("size", "table", "bucket").count().where("count > 1")
+    places = met_at.join(sizes, ["size", "table", "bucket"]).select("class_id", "size", "table", "bucket", "count")
+    members = classes.select("class_id", "copies", "embedding").join(places, "class_id")
     blocks = F.ceil(F.col("count") / BLOCK).cast("int")
     members = members.withColumn("block", F.pmod(F.xxhash64("class_id"), blocks).cast("int"))
     members = members.withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
     key = ["size", "table", "bucket", "one", "other"]
     dealt = members.select(
-        "size", "table", "bucket", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other"), "block", "class_id", "copies", "signs", "embedding"
+        "size", "table", "bucket", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("other"), "block", "class_id", "copies", "embedding"
     )
-    met = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare(min_cosine), "class_id long, links long, root long")
+    met = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare(min_cosine, bits, tables), "class_id long, links long, root long")
     met = written(met, "met")
 
     links = met.groupBy("class_id").agg(F.sum("links").alias("links"))
