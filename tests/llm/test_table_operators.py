@@ -2,6 +2,7 @@
 
 import bisect
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tillwatch.llm import components, embed_dedup, packing, queries, sharding, simhash
-from tillwatch.llm.common import table
+from tillwatch.llm.common import finished, table, written
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -232,6 +233,41 @@ def test_blocks_are_compared_some_rows_at_a_time(monkeypatch):
             assert expected and {tuple(row.values()) for row in found.to_pylist()} == expected
 
 
+# Intermediate tables.
+
+
+def test_what_was_written_on_the_way_is_removed(spark):
+    root = Path(spark.conf.get("spark.checkpoint.dir")) / "tillwatch"
+    folders = lambda: {path.name for path in root.glob("*")}
+    before = folders()
+
+    def made(name, depth):
+        first = written(spark.range(9), f"{name}first")
+        return first.union(finished(lambda: made(f"{name}inner", depth - 1), f"{name}part") if depth else first)
+
+    result = finished(lambda: made("x", 2), "result")
+    assert result.count() == 36 and {name.split("-")[0] for name in folders() - before} == {"result"}
+
+    def fails():
+        written(spark.range(1), "kept")
+        raise ValueError
+
+    with pytest.raises(ValueError):
+        finished(fails, "never")
+    assert {name.split("-")[0] for name in folders() - before} == {"result", "kept"}
+    written(spark.range(1), "outside")
+    assert {name.split("-")[0] for name in folders() - before} == {"result", "kept", "outside"}
+
+
+def test_rounds_of_components_are_removed(spark, sf_dir):
+    root = Path(spark.conf.get("spark.checkpoint.dir")) / "tillwatch"
+    before = set(root.glob("*"))
+    simhash.near_duplicates(table(spark, sf_dir, "documents")).count()
+    near_vectors = embed_dedup.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+    assert sorted(path.name.split("-")[0] for path in set(root.glob("*")) - before) == ["placed", "placed", "prints"]
+    assert near_vectors.count() == table(spark, sf_dir, "embeddings").count()
+
+
 # Pipeline.
 
 
@@ -244,7 +280,10 @@ def test_stages_work_on_what_is_left(spark, sf_dir):
         assert left.count() < before.count() and left.exceptAll(before).isEmpty(), name
     prints = [brute_fingerprint(row.text) for row in left.collect()]
     assert len(set(prints)) == len(prints) and not close(prints)
+    root = Path(spark.conf.get("spark.checkpoint.dir")) / "tillwatch"
+    earlier = set(root.glob("*"))
     pieces = corpus_pipeline.run(spark, sf_dir)
+    assert [path.name.split("-")[0] for path in set(root.glob("*")) - earlier] == [corpus_pipeline.STAGES[-2][0]]
     assert pieces.where("start = 0").count() == left.count()
     assert {row.doc_id for row in pieces.collect()} == {row.doc_id for row in left.collect()}
     clean = table(spark, sf_dir, "labels").where("quality = 1").join(docs, "doc_id")

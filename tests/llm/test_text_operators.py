@@ -1,14 +1,17 @@
 """Operators that work text by text, against brute force and held-out rows."""
 
+import functools
 import itertools
 import json
 import random
 import re
+import struct
 import time
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tillwatch.llm import html_main, language, licenses, packing, piece_lattice, quality, queries, rules
@@ -124,6 +127,33 @@ def test_quality_of_held_out_documents(spark):
     assert labelled.select(F.avg((F.col("predicted") == F.col("quality")).cast("int"))).first()[0] > 0.95
 
 
+def test_every_score_equals_brute_force(spark, sf_dir):
+    """The whole query in one process: moments, one matrix, the best rising fit by its max-min formula, straight lines between its blocks."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").orderBy("doc_id").collect()
+    marks = {}
+    for row in table(spark, sf_dir, "labels").where("quality in (0, 1)").collect():
+        marks.setdefault(row.doc_id, set()).add(row.quality)
+    stats = np.array([quality.text_stats(row.text) for row in docs])
+    learned = [k for k, row in enumerate(docs) if zlib.crc32(str(row.doc_id).encode()) % 3 != 1 and len(marks.get(row.doc_id, ())) == 1]
+    y = np.array([min(marks[docs[k].doc_id]) for k in learned], float)
+    part = np.array([xxhash.xxh64(struct.pack("<q", docs[k].doc_id), seed=42).intdigest() % 4 == 0 for k in learned])
+    mean, scale = stats[learned].mean(axis=0), np.maximum(stats[learned].std(axis=0), 1e-6)
+    z = quality.fourier((stats - mean) / scale)
+    fit = z[learned][~part]
+    raw = z @ np.linalg.solve(fit.T @ fit + quality.RIDGE * np.eye(fit.shape[1]), fit.T @ y[~part])
+    cells = np.round(np.clip(raw[learned][part], -1, 2) / quality.GRID)
+    xs, at = np.unique(cells, return_inverse=True)
+    n, ones = np.bincount(at), np.bincount(at, y[part])
+    best = [max(min(ones[a : b + 1].sum() / n[a : b + 1].sum() for b in range(i, len(xs))) for a in range(i + 1)) for i in range(len(xs))]
+    blocks = [list(block) for _, block in itertools.groupby(range(len(xs)), key=lambda i: round(best[i], 12))]
+    centres = [np.average(xs[block], weights=n[block]) * quality.GRID for block in blocks]
+    expected = np.interp(raw, centres, [best[block[0]] for block in blocks])
+    found = {row.doc_id: row for row in queries.op7_quality_classifier(spark, sf_dir).collect()}
+    assert len(found) == len(docs)
+    assert [found[row.doc_id].score for row in docs] == pytest.approx(expected.tolist(), abs=1e-6)
+    assert all(row.predicted == (row.score >= 0.5) for row in found.values())
+
+
 def test_quality_of_odd_rows(spark, odd, empty, no_labels):
     scored = quality.scored(odd, no_labels)
     assert scored.count() == odd.count() and scored.where("score <> 0.5 or predicted <> 1").isEmpty()
@@ -164,6 +194,40 @@ def test_languages_of_held_out_documents(spark):
     assert len({span.lang for span in both.first().language_spans}) >= 2
 
 
+def test_every_language_equals_brute_force(spark, sf_dir):
+    """One byte at a time, one unit at a time, both ways; a document has the mean over all positions of its units."""
+    docs = table(spark, sf_dir, "documents")
+    network = language.fit_language(docs)
+
+    def states(data, way):
+        given, weights = network.inputs[way].astype(float), network.recurrent[way].astype(float)
+        size, state, out = len(weights), np.zeros(len(weights)), []
+        for byte in data:
+            x, back = given[byte], state @ weights
+            update, reset = (1 / (1 + np.exp(-(x + back)[k * size : (k + 1) * size])) for k in range(2))
+            state = update * state + (1 - update) * np.tanh(x[2 * size :] + reset * back[2 * size :])
+            out.append(state)
+        return out
+
+    @functools.cache
+    def unit_sum(unit):
+        data = b" " + unit.encode() + b" "
+        both = np.hstack([states(data, 0), states(data[::-1], 1)[::-1]])[1:-1]
+        scores = np.exp(both @ network.output.astype(float) + network.bias)
+        return (scores / scores.sum(axis=1, keepdims=True)).sum(axis=0), len(both)
+
+    found = {row.doc_id: row for row in queries.op1_byte_network_language(spark, sf_dir).collect()}
+    for row in docs.select("doc_id", "text").collect():
+        units = [unit_sum(unit) for unit in re.findall(r"\S{1,24}", (row.text or "").lower()) if any(map(str.isalpha, unit))]
+        if not units:
+            assert (found[row.doc_id].lang_pred, found[row.doc_id].score) == ("und", 0.0)
+            continue
+        pooled = sum(total for total, _ in units) / sum(n for _, n in units)
+        assert found[row.doc_id].score == pytest.approx(pooled.max(), abs=1e-4)
+        assert pooled[network.languages.index(found[row.doc_id].lang_pred)] == pytest.approx(pooled.max(), abs=2e-4)
+    assert len(found) == docs.count()
+
+
 def test_language_of_odd_rows(spark, odd, empty):
     assert language.fit_language(empty.withColumn("lang", F.lit(None).cast("string"))) is None
     nothing = language.identify(odd, None)

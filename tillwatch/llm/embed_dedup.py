@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import written
+from tillwatch.llm.common import finished, written
 from tillwatch.llm.components import connected_components
 
 MIN_COSINE = 0.95
@@ -153,18 +153,8 @@ def _compare(min_cosine: float, bits: int, tables: int):
     return compare
 
 
-def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", min_cosine: float = MIN_COSINE) -> DataFrame:
-    """``(vec_id, n_links, component_id, kept)`` per row of ``vectors``.
-
-    Equal vectors are one class with a number of copies, which link to each other without being compared. Classes that
-    meet in a bucket of any table are compared exactly; a large bucket is dealt to tasks as pairs of blocks, of which each
-    passes on counts and the roots of its local components, never pairs. Vectors that are null, zero, or have null or non-finite
-    components link with nothing and are their own component, and vectors of different lengths never
-    link. Repeated rows are copies. A row without an id counts as a copy; its component is that of its class.
-    Other columns are ignored.
-    """
-    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("embedding"))
-    usable = rows.where(_usable(F.col("embedding")))
+def _placed_classes(usable: DataFrame, min_cosine: float) -> DataFrame:
+    """Every different vector with its smallest id, a class of its component that all of this have, and its number of links."""
     classes = usable.groupBy("embedding").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"))
     classes = written(classes.withColumn("class_id", F.monotonically_increasing_id()), "classes")
     bits, tables = table_sizes(classes.count(), min_cosine)
@@ -189,8 +179,21 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     roots = connected_components(met, "class_id", "root")
     known = classes.select("class_id", "least_id", "copies", "embedding")
     placed = known.join(links, "class_id", "left").join(roots, known["class_id"] == roots["node"], "left")
-    placed = placed.select("embedding", "least_id", F.coalesce("root", "class_id").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    placed = written(placed, "placed")
+    return placed.select("embedding", "least_id", F.coalesce("root", "class_id").alias("root"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+
+
+def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", min_cosine: float = MIN_COSINE) -> DataFrame:
+    """``(vec_id, n_links, component_id, kept)`` per row of ``vectors``.
+
+    Equal vectors are one class with a number of copies, which link to each other without being compared. Classes that
+    meet in a bucket of any table are compared exactly; a large bucket is dealt to tasks as pairs of blocks, of which each
+    passes on counts and the roots of its local components, never pairs. Vectors that are null, zero, or have null or non-finite
+    components link with nothing and are their own component, and vectors of different lengths never
+    link. Repeated rows are copies. A row without an id counts as a copy; its component is that of its class.
+    Other columns are ignored.
+    """
+    rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("embedding"))
+    placed = finished(lambda: _placed_classes(rows.where(_usable(F.col("embedding"))), min_cosine), "placed")
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     found = placed.join(least, "root").select("embedding", "n_links", "component_id")
     out = rows.join(found, "embedding", "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))

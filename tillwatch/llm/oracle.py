@@ -119,5 +119,44 @@ SELECT w.conv_id, w.depth, p.conv_id AS parent_conv_id, w.n_convs, w.n_children,
 FROM whole w JOIN sums ON w.prefix = sums.prefix LEFT JOIN whole p ON w.depth > 0 AND p.prefix = w.prefix[:w.depth - 1]"""
 
 
+_STATISTICS = f"""WITH texts AS (
+  SELECT doc_id, row_number() OVER () AS place, coalesce(text, '') AS text FROM documents
+),
+said AS (
+  SELECT doc_id, place, text, regexp_extract_all(text, '{_VISIBLE}+') AS words,
+         list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '{_VISIBLE}')) AS lines
+  FROM texts
+),
+windows AS (
+  SELECT place, i, list_slice(words, i, i + 4) AS said FROM (SELECT place, words, unnest(range(1, len(words) - 3)) AS i FROM said WHERE len(words) >= 5)
+),
+twice AS (SELECT place, i FROM (SELECT place, i, count(*) OVER (PARTITION BY place, said) AS times FROM windows) WHERE times > 1),
+repeated AS (
+  SELECT place, sum(least(5, coalesce(later - i, 5)))::BIGINT AS n FROM (SELECT place, i, lead(i) OVER (PARTITION BY place ORDER BY i) AS later FROM twice) GROUP BY place
+)
+SELECT doc_id, len(words) AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+       length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+       (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+       len(words) < 10 OR 100 * coalesce(n, 0) > 20 * len(words) AS base_failed
+FROM said LEFT JOIN repeated USING (place)"""
+
+_VECTORS = """WITH RECURSIVE
+vectors AS (SELECT vec_id, row_number() OVER () AS i, embedding::DOUBLE[] AS v FROM embeddings),
+usable AS (
+  SELECT i, vec_id, list_transform(v, lambda x: x / list_max(list_transform(v, lambda y: abs(y)))) AS v FROM vectors
+  WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+),
+links AS (
+  SELECT a.i, b.i AS j FROM usable a JOIN usable b ON a.i <> b.i
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN a.v = b.v OR list_cosine_similarity(a.v, b.v) >= 0.95 END
+),
+reached(i, j) AS (SELECT i, j FROM links UNION SELECT r.i, l.j FROM reached r JOIN links l ON l.i = r.j),
+least_reached AS (SELECT r.i, min(vec_id) AS vec_id FROM reached r JOIN usable u ON u.i = r.j GROUP BY r.i),
+counts AS (SELECT i, count(*) AS n FROM links GROUP BY i)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, coalesce(least(v.vec_id, m.vec_id), v.vec_id) AS component_id,
+       coalesce(v.vec_id <= coalesce(m.vec_id, v.vec_id), false) AS kept
+FROM vectors v LEFT JOIN counts USING (i) LEFT JOIN least_reached m USING (i)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op12_conversation_repair": _REPAIR, "op13_prefix_trie": _TRIE}
+    return {"quality_base_statistics": _STATISTICS, "op5_hyperplane_embedding_dedup": _VECTORS, "op12_conversation_repair": _REPAIR, "op13_prefix_trie": _TRIE}

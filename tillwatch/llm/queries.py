@@ -19,6 +19,7 @@ from tillwatch.llm.piece_lattice import op6_sentencepiece_lattice as pieces_of
 from tillwatch.llm.prefix_trie import op13_prefix_trie as trie_of
 from tillwatch.llm.quality import scored
 from tillwatch.llm.rules import op3_quality_rules as rules_of
+from tillwatch.llm.rules import quality_base_statistics as base_of
 from tillwatch.llm.sharding import op4_sampled_splitter_shards as shards_of
 from tillwatch.llm.simhash import op9_simhash_near_dedup as simhash_of
 
@@ -39,6 +40,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def quality_base_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return base_of(table(spark, sf_dir, "documents"))
+
+
 def op4_sampled_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards_of(table(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ _QUERIES: tuple[Query, ...] = (
     op1_byte_network_language,
     op2_license_scan,
     op3_quality_rules,
+    quality_base_statistics,
     op4_sampled_splitter_shards,
     op5_hyperplane_embedding_dedup,
     op6_sentencepiece_lattice,

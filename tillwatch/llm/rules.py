@@ -230,8 +230,16 @@ def judged(
     return rows.withColumn(kept, ~F.col(f"{stats}.base_failed") & F.col(rule).isNull()), rules
 
 
+def _base() -> list[Column]:
+    return [F.col(f"stats.{name}").alias(name) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")]
+
+
 def op3_quality_rules(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The digest of the query: base statistics, base check, verdict and the rule behind it."""
     rows, _ = judged(docs.select("doc_id", "text"), labels, carry=[])
-    base = [F.col(f"stats.{name}").alias(name) for name in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")]
-    return rows.select("doc_id", *base, "kept", "rule")
+    return rows.select("doc_id", *_base(), "kept", "rule")
+
+
+def quality_base_statistics(docs: DataFrame) -> DataFrame:
+    """What op3 knows of a text before it learns: base statistics and base check, which SQL can tell too."""
+    return with_stats(docs.select("doc_id", "text")).select("doc_id", *_base())

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillwatch.llm.common import free_prefix, written
+from tillwatch.llm.common import finished, free_prefix, written
 from tillwatch.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -132,7 +132,7 @@ def near_duplicates(
     them is one node.
     """
     rows = written(docs.select(F.col(id_col).alias("doc_id"), fingerprints_of(text_col, shingle_words).alias("fp")), "prints")
-    placed = written(fingerprint_roots(rows, max_distance).join(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fp"), "placed")
+    placed = finished(lambda: fingerprint_roots(rows, max_distance).join(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "fp"), "placed")
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     components = placed.join(least, "root").select("fp", "component_id")
     return rows.join(components, "fp").select("doc_id", "fp", "component_id")
