@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwatch.llm.common import free_prefix, table, written
+from tillwatch.llm.common import finished, free_prefix, table
 from tillwatch.llm.packing import pack
 from tillwatch.llm.quality import scored
 from tillwatch.llm.rules import judged
@@ -48,8 +48,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written and read again as the next one's documents."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages over ``documents``; each is written and read again as the next one's documents, and removed when that is written."""
+
+    def after(stages: list) -> DataFrame:
+        if not stages:
+            return table(spark, sf_dir, "documents")
+        name, stage = stages[-1]
+        return finished(lambda: stage(spark, after(stages[:-1]), sf_dir), name)
+
+    return STAGES[-1][1](spark, after(STAGES[:-1]), sf_dir)
