@@ -127,8 +127,10 @@ said AS (
          list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '{_VISIBLE}')) AS lines
   FROM texts
 ),
+spoken AS (SELECT place, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM said),
 windows AS (
-  SELECT place, i, list_slice(words, i, i + 4) AS said FROM (SELECT place, words, unnest(range(1, len(words) - 3)) AS i FROM said WHERE len(words) >= 5)
+  SELECT place, i, [word, lead(word) OVER w, lead(word, 2) OVER w, lead(word, 3) OVER w, lead(word, 4) OVER w] AS said
+  FROM spoken WINDOW w AS (PARTITION BY place ORDER BY i) QUALIFY lead(word, 4) OVER w IS NOT NULL
 ),
 twice AS (SELECT place, i FROM (SELECT place, i, count(*) OVER (PARTITION BY place, said) AS times FROM windows) WHERE times > 1),
 repeated AS (
