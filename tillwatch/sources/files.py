@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillwatch.contract import KAFKA_SCHEMA
 
+# Records of one file. A file of a few MB is one row group, which one task reads.
+FILE_RECORDS = 100_000
+
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(KAFKA_SCHEMA).parquet(path)
@@ -20,4 +23,5 @@ def stream_records(spark: SparkSession, path: str, max_files_per_trigger: int |
 
 
 def append_records(records: DataFrame, path: str) -> None:
-    records.write.mode("append").parquet(path)
+    """Add records to a folder. What one task writes goes to files that many tasks read, even if it wrote most of the records."""
+    records.write.mode("append").option("maxRecordsPerFile", FILE_RECORDS).parquet(path)
