@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 from tillwatch.sinks.ledger import Epochs, Ledger, read_or_empty
 
 STAMP = "_processed_at"
+# Which file a row goes to, while the rows of a batch are gathered.
+_DEALT = "dealt_to"
 # Folder of a batch that no stream wrote.
 NO_STREAM = "none"
 
@@ -144,6 +147,27 @@ class BatchFolders:
         self._save(rows, folder)
         return folder
 
+    def write_gathered(self, rows: DataFrame, batch_id: int, summary: BatchSummary, files: int) -> str:
+        """Write rows of a summarized batch, which all tasks work out, to at most ``files`` files.
+
+        Tasks deal their rows in turn to as many folders of compressed columns, and each folder is written as one file by a task. These
+        columns are fewer bytes than the rows in a shuffle. A replay overwrites the folders; once the batch is written they are deleted.
+        """
+        spark, rows = rows.sparkSession, rows.drop(STAMP)
+        folder = self.folder(summary, batch_id, stream_of(rows))
+        aside = f"{self.root.rstrip('/')}-gathering/stream={stream_of(rows)}/batch_id={batch_id}"
+        # the lower 33 bits number the rows of a task
+        number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + F.spark_partition_id()
+        dealt = rows.withColumn(_DEALT, F.pmod(number, F.lit(files)).cast("int"))
+        dealt.write.mode("overwrite").options(partitionOverwriteMode="static", compression="zstd").partitionBy(_DEALT).parquet(aside)
+        found = spark.read.schema(dealt.schema).parquet(aside)
+        # A union of single partitions alone would be one partition; the last part, of no files, keeps them apart.
+        parts = [found.where(F.col(_DEALT) == k).coalesce(1) for k in range(files)] + [found.where(F.col(_DEALT) < 0)]
+        self._save(reduce(DataFrame.union, parts).drop(_DEALT), folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(aside)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        return folder
+
     def _columns(self) -> dict[str, T.StructField]:
         """Of the folders, from the outermost."""
         hour = {"proc_hour": T.StringType()} if self.hourly else {}

@@ -36,7 +36,7 @@ class StreamConfig:
     """Output root, checkpoint root and the knobs of both queries.
 
     ``enriched_files`` merges the enriched events of a batch to that many
-    files, by a shuffle, so that decoding keeps its tasks; without it each
+    files, behind a written table, so that decoding keeps its tasks; without it each
     task writes its own file. ``totals_files`` merges totals and alerts, which are
     small rows; None leaves one file per state partition. ``max_ahead`` bounds how far an
     event time may lie ahead of its record's, see ``classify_records``.
@@ -105,8 +105,11 @@ def _totals_of(events: DataFrame, config: StreamConfig) -> DataFrame:
     return window_totals(with_watermark(taken, config.watermark_delay), config.window_length)
 
 
-def _merged(events: DataFrame, config: StreamConfig) -> DataFrame:
-    return events if config.enriched_files is None else events.repartition(config.enriched_files)
+def _write_events(events: DataFrame, config: StreamConfig, batch_id: int, summary: BatchSummary) -> None:
+    if config.enriched_files is None:
+        config.enriched.write(events, batch_id, summary)
+    else:
+        config.enriched.write_gathered(events, batch_id, summary, config.enriched_files)
 
 
 def _written(summary: BatchSummary, counts: dict[str, int]) -> Written:
@@ -125,7 +128,7 @@ def _write_enriched(config: StreamConfig) -> Callable[[DataFrame, int], Written
         if not summary.rows:
             return None
         counted, seen = _counting(batch)
-        config.enriched.write(_merged(counted, config), batch_id, summary)
+        _write_events(counted, config, batch_id, summary)
         return _written(summary, seen.get)
 
     return write
@@ -140,7 +143,7 @@ def _write_enriched_and_quarantine(config: StreamConfig) -> Callable[[DataFrame,
             return None
         counted, seen = _counting(batch, *STAGES)
         events = keep_rows(counted, is_accepted(), ENRICHED_COLUMNS)
-        config.enriched.write(_merged(events, config), batch_id, summary)
+        _write_events(events, config, batch_id, summary)
         if any(seen.get[stage] for stage in STAGES):
             config.quarantined.write(keep_rows(batch, is_defective(), QUARANTINE_COLUMNS), batch_id, summary)
         return _written(summary, seen.get)
